@@ -70,7 +70,7 @@ def po_retail_totals(spark, folder):
         *e.frames("purchase_orders", "milestones", "shippings", "currencies")
     )
     prices = [c for c in totals.columns if c != "id"]
-    return totals.select("id", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in prices])
+    return totals.select("id", *[F.round(F.col(c).cast("double"), 8).alias(c) for c in prices])
 
 
 def proposal_report(spark, folder):
@@ -119,8 +119,10 @@ def rating_report_query(spark, folder):
 
 
 def _snapshot_query(name: str) -> Query:
+    """A snapshot; rows that break its contract are left out, as for currencies without a rate."""
+
     def run(spark, folder):
-        return snapshot(name, Entities(spark, folder)[SNAPSHOTS[name].table])
+        return snapshot(name, Entities(spark, folder)[SNAPSHOTS[name].table], contract="valid")
 
     return run
 
