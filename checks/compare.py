@@ -1,8 +1,13 @@
-"""Run every registered query and its oracle side by side: `python -m checks.compare [sf] [names]`."""
+"""Run every registered query and its oracle side by side: `python -m checks.compare [sf] [names]`.
+
+COMPARE_CONF may hold session settings (`key=value`, space separated), for instance to switch
+broadcasts off or to change the time zone.
+"""
 
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from datetime import date, datetime
@@ -74,6 +79,8 @@ def main() -> None:
     names = sys.argv[2:] or list(QUERIES)
     folder = f"/root/testdata/sf{scale}"
     spark, connection = local_session(8), connect(folder)
+    for setting in os.environ.get("COMPARE_CONF", "").split():
+        spark.conf.set(*setting.split("=", 1))
     failed = 0
     for name in names:
         started = time.monotonic()

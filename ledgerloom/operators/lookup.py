@@ -24,8 +24,11 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class SkewPolicy:
+    """When to salt and how far. Values left out are taken from the session: the broadcast threshold,
+    `ledgerloom.lookup.hotRows`, and as many salts as there are shuffle partitions."""
+
     broadcast_bytes: int | None = None
-    hot_rows: int = 1_000_000
+    hot_rows: int | None = None
     salts: int | None = None
 
     def broadcast_limit(self, spark: SparkSession) -> int:
@@ -33,10 +36,14 @@ class SkewPolicy:
             return self.broadcast_bytes
         return size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
 
+    def hot_limit(self, spark: SparkSession) -> int:
+        return self.hot_rows or int(spark.conf.get("ledgerloom.lookup.hotRows", str(HOT_ROWS)))
+
     def salt_count(self, spark: SparkSession) -> int:
         return self.salts or max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+HOT_ROWS = 1_000_000
 DEFAULT_POLICY = SkewPolicy()
 
 
@@ -76,7 +83,7 @@ def lookup(
 
     salts = policy.salt_count(spark)
     source = key_source if key_source is not None else parent
-    hot = hot_keys(source, list(on), policy.hot_rows)
+    hot = hot_keys(source, list(on), policy.hot_limit(spark))
     hot_parent = F.broadcast(hot.withColumnsRenamed({k: f"_hot_{i}" for i, k in enumerate(on)}))
     hot_left = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_hot_{i}") for i, k in enumerate(on)])
     hot_right = reduce(

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 COMPRESSION = "gzip"
-MANIFEST_SCHEMA = (
-    "path STRING, window_start STRING, files BIGINT, rows BIGINT, bytes BIGINT, elapsed_ms BIGINT"
-)
 
 
 def dataset_path(base: str, name: str) -> str:
@@ -24,13 +22,23 @@ def row_count(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).count()
 
 
-def file_sizes(spark: SparkSession, path: str, group: Sequence[str] = ()) -> DataFrame:
-    """Files, rows and bytes of a Parquet data set, by partition columns if any are named."""
-    files = spark.read.parquet(path).select(
-        *group, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
-    )
-    per_file = files.groupBy(*group, "file").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("size").alias("size")
+def file_sizes(
+    spark: SparkSession, path: str, group: Sequence[str] = (), where: Column | None = None
+) -> DataFrame:
+    """Files, rows and bytes of a Parquet data set, by partition columns if any are named.
+
+    Only file metadata and row counts are read. `where` may name partition columns; partitions it
+    leaves out are not listed.
+    """
+    data = spark.read.parquet(path)
+    if where is not None:
+        data = data.where(where)
+    per_file = (
+        data.groupBy(
+            *[F.col(c).cast("string").alias(c) for c in group],
+            F.col("_metadata.file_path").alias("file"),
+        )
+        .agg(F.count(F.lit(1)).alias("rows"), F.max("_metadata.file_size").alias("size"))
     )
     return per_file.groupBy(*group).agg(
         F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("size").alias("bytes")
@@ -61,17 +69,23 @@ def refresh_partitions(
 ) -> DataFrame:
     """Replace the listed partitions of a data set and return one manifest row per partition.
 
-    `windows` lists the partition values to rebuild, a few rows by construction. All of them are
-    written by one job with dynamic overwrite, so other partitions stay. Rows are rebalanced by
-    partition value before the write: AQE splits a large partition over several tasks and merges
-    small ones. A listed window without rows is written as an empty file, so that a stale partition
-    is replaced as well.
+    `windows` lists the partition values to rebuild, a few rows by construction, and the frame holds
+    rows of those windows only. All of them are written by one job with dynamic overwrite, so other
+    partitions stay. Rows are rebalanced by partition value before the write: AQE splits a large
+    partition over several tasks and merges small ones. The same job notes which windows had no
+    rows; those are written as an empty file, so that a stale partition is replaced as well.
     """
     spark = frame.sparkSession
-    windows = list(windows)
+    windows = [{c: str(w[c]) for c in partition_by} for w in windows]
+    seen = Observation()
+    observed = frame.observe(
+        seen,
+        F.count(F.lit(1)).alias("all_rows"),
+        *[F.count_if(_in_window(w)).alias(f"w{i}") for i, w in enumerate(windows)],
+    )
     started = time.monotonic()
     (
-        frame.hint("rebalance", *[F.col(c) for c in partition_by])
+        observed.hint("rebalance", *[F.col(c) for c in partition_by])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", COMPRESSION)
@@ -80,34 +94,19 @@ def refresh_partitions(
     )
     elapsed = int((time.monotonic() - started) * 1000)
 
-    listed = spark.createDataFrame(
-        [tuple(str(w[c]) for c in partition_by) for w in windows],
-        ", ".join(f"{c} STRING" for c in partition_by),
-    )
-    present = (
-        frame.select(*[F.col(c).cast("string") for c in partition_by]).distinct()
-    )
-    empty_windows = listed.join(present, list(partition_by), "left_anti").collect()
-    body = frame.drop(*partition_by).limit(0)
-    for window in empty_windows:
-        folder = "/".join(f"{c}={window[c]}" for c in partition_by)
-        body.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{path}/{folder}")
-
-    schema = frame.schema
-    written = spark.read.schema(schema).parquet(path)
-    mine = written.join(
-        F.broadcast(listed), [written[c].cast("string") == listed[c] for c in partition_by], "left_semi"
+    body = spark.createDataFrame([], frame.drop(*partition_by).schema)
+    for i, window in enumerate(windows):
+        if seen.get[f"w{i}"] == 0:
+            folder = "/".join(f"{c}={window[c]}" for c in partition_by)
+            body.coalesce(1).write.mode("overwrite").option("compression", COMPRESSION).parquet(
+                f"{path}/{folder}"
+            )
+
+    counted = file_sizes(
+        spark, path, partition_by, where=reduce(lambda a, b: a | b, map(_in_window, windows))
     )
-    counted = (
-        mine.select(
-            *[F.col(c).cast("string").alias(c) for c in partition_by],
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_size").alias("size"),
-        )
-        .groupBy(*partition_by, "file")
-        .agg(F.count(F.lit(1)).alias("rows"), F.max("size").alias("size"))
-        .groupBy(*partition_by)
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("size").alias("bytes"))
+    listed = spark.createDataFrame(
+        [tuple(w.values()) for w in windows], ", ".join(f"{c} STRING" for c in partition_by)
     )
     label = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in partition_by])
     return listed.join(counted, list(partition_by), "left").select(
@@ -120,6 +119,12 @@ def refresh_partitions(
     )
 
 
+def _in_window(window: Mapping[str, str]) -> Column:
+    return reduce(
+        lambda a, b: a & b, [F.col(c).cast("string") == v for c, v in window.items()]
+    )
+
+
 def manifest_totals(manifest: DataFrame) -> DataFrame:
     """Totals of a run over its manifest."""
     return manifest.agg(

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.boost import boosted
-from ..plans.clicks import unseen_clicks
+from ..plans.clicks import click_rows, unseen_clicks
 from ..schemas import table_schema
+from ..sources.objects import click_object_years, read_click_lines
 from .parquet import COMPRESSION
 
 
@@ -23,15 +27,16 @@ def stored_clicks(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def insert_new_clicks(clicks: DataFrame, path: str) -> None:
+def insert_new_clicks(clicks: DataFrame, path: str, years: Sequence[int] | None = None) -> None:
     """Append the clicks whose (id, year) is not stored, partitioned by year.
 
     Running it again with the same rows appends nothing, also when an earlier run failed half-way.
-    The years of the new rows are read first (one value per calendar year), so that only those
-    partitions of the history are compared.
+    Only the stored years of the new rows are compared. They are one value per calendar year; when
+    the caller does not know them they are read from the rows first.
     """
     spark = clicks.sparkSession
-    years = sorted(r["year"] for r in clicks.select("year").distinct().collect())
+    if years is None:
+        years = sorted(r["year"] for r in clicks.select("year").distinct().collect())
     if not years:
         return
     history = stored_clicks(spark, path).where(F.col("year").isin(*years))
@@ -45,6 +50,12 @@ def insert_new_clicks(clicks: DataFrame, path: str) -> None:
     )
 
 
+def ingest_recent_clicks(spark: SparkSession, base: str, today: date, path: str) -> None:
+    """Insert the clicks of the last day folders; the years come from the file listing."""
+    years = [r["year"] for r in click_object_years(spark, base, today).collect()]
+    insert_new_clicks(click_rows(read_click_lines(spark, base, today)), path, years)
+
+
 def write_boosted(wpcs: DataFrame, scores: DataFrame, base: str, version: str) -> str:
     """Write the updated configurations as a new version and return its path.
 

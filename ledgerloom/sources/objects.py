@@ -24,36 +24,55 @@ def _object_key(base: str):
     return path.substr(below, F.length(path))
 
 
+def _utc(column: str):
+    """UTC wall-clock time of a timestamp, whatever the zone of the session."""
+    return F.to_utc_timestamp(F.col(column), F.current_timezone()).cast("timestamp_ntz")
+
+
 def line_columns(base: str):
     """Line text with the object key and the modification time of its file."""
     base = base.rstrip("/") + "/"
     return [
         F.col("value"),
         _object_key(base).alias("file_name"),
-        F.to_utc_timestamp(F.col("_metadata.file_modification_time"), F.current_timezone())
-        .cast("timestamp_ntz")
-        .alias("last_modified_date"),
+        _utc("_metadata.file_modification_time").alias("last_modified_date"),
     ]
 
 
+def _recent(spark: SparkSession, base: str, today: date, days: int, file_format: str) -> DataFrame | None:
+    """A scan of the last day folders, or None when none of them exists."""
+    folders = ",".join(day_folders(today, days))
+    reader = spark.read.format(file_format).option("recursiveFileLookup", "true")
+    try:
+        return reader.load(f"{base.rstrip('/')}/{{{folders}}}*")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return None
+
+
 def read_click_lines(
     spark: SparkSession, base: str, today: date, days: int = DAYS, name_part: str = "clicks"
 ) -> DataFrame:
     """Lines of the click objects of the last days; `.gz` is decoded by its extension.
 
-    The name filter looks at the whole key, folders included. It is a metadata filter, so files that
-    do not match are dropped before they are read. Missing folders give no rows.
+    The name filter looks at the whole key, folders included. It is a file metadata filter, so the
+    files that do not match are dropped before they are read. Missing folders give no rows.
     """
-    folders = ",".join(day_folders(today, days))
-    base = base.rstrip("/")
-    try:
-        lines = spark.read.option("recursiveFileLookup", "true").text(f"{base}/{{{folders}}}*")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
+    lines = _recent(spark, base, today, days, "text")
+    if lines is None:
         return spark.createDataFrame([], LINE_SCHEMA)
-    rows = lines.select(*line_columns(base))
-    return rows.where(F.col("file_name").contains(name_part) & (F.trim("value") != ""))
+    return lines.select(*line_columns(base)).where(F.col("file_name").contains(name_part))
+
+
+def click_object_years(
+    spark: SparkSession, base: str, today: date, days: int = DAYS
+) -> DataFrame:
+    """Distinct modification years of the objects of the last days; contents are not read."""
+    files = _recent(spark, base, today, days, "binaryFile")
+    if files is None:
+        return spark.createDataFrame([], "year INT")
+    return files.select(F.year(_utc("modificationTime")).alias("year")).distinct()
 
 
 def list_objects(spark: SparkSession, base: str, pattern: str = "*") -> DataFrame:

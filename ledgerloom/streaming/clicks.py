@@ -26,8 +26,7 @@ def stream_click_lines(
         .option("maxFilesPerTrigger", files_per_batch)
         .text(base)
     )
-    rows = lines.select(*line_columns(base))
-    return rows.where(F.col("file_name").contains(name_part) & (F.trim("value") != ""))
+    return lines.select(*line_columns(base)).where(F.col("file_name").contains(name_part))
 
 
 def ingest_clicks(clicks: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
