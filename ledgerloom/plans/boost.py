@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.lookup import DEFAULT_POLICY, SkewPolicy, lookup
@@ -11,25 +11,29 @@ KEY = ("ware_id", "organization_id", "provider_id")
 SCORE_TYPE = "decimal(3,2)"
 
 
+def _required(column: str, kind: str = "int") -> Column:
+    """A typed column that must not be null. The check sits in the value, where no filter that the
+    optimizer derives from a later join can get ahead of it."""
+    missing = F.raise_error(F.lit(f"score without {column}")).cast(kind)
+    return F.coalesce(F.col(column).cast(kind), missing)
+
+
 def accepted_scores(scores: DataFrame) -> DataFrame:
-    """Scores flagged for update, typed. A score that does not fit DECIMAL(3,2) stops the job."""
+    """Scores flagged for update, typed. A null key part or score, or a score that does not
+    fit DECIMAL(3,2), stops the job."""
     return scores.where(F.col("update") == "true").select(
-        *(F.col(c).cast("int").alias(c) for c in ("id", *KEY)),
-        F.col("updated_booster").cast(SCORE_TYPE).alias("booster"),
+        F.col("id").cast("int").alias("id"),
+        *(_required(c).alias(c) for c in KEY),
+        _required("updated_booster", SCORE_TYPE).alias("booster"),
     )
 
 
 def one_score_per_key(scores: DataFrame) -> DataFrame:
-    """The scores by key; a key held twice, or with a null part, stops the job."""
-    counted = scores.groupBy(*KEY).agg(F.min("booster").alias("_boost"), F.count(F.lit(1)).alias("_n"))
-    whole = F.col("ware_id").isNotNull()
-    for column in KEY[1:]:
-        whole = whole & F.col(column).isNotNull()
-    message = F.concat(F.lit("score key is null or repeated: "), F.concat_ws(",", *KEY))
-    good = F.when((F.col("_n") == 1) & whole, F.lit(True)).otherwise(
-        F.raise_error(message).cast("boolean")
-    )
-    return counted.where(good).select(*KEY, "_boost")
+    """The scores by key; a key held twice stops the job."""
+    message = F.concat(F.lit("score key repeated: "), F.concat_ws(",", *KEY))
+    repeated = F.raise_error(message).cast(SCORE_TYPE)
+    once = F.when(F.count(F.lit(1)) == 1, F.min("booster")).otherwise(repeated)
+    return scores.groupBy(*KEY).agg(once.alias("_boost"))
 
 
 def boosted(

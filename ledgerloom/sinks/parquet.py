@@ -6,6 +6,7 @@ import time
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ def write_snapshot(frame: DataFrame, path: str) -> DataFrame:
     frame.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
     elapsed = int((time.monotonic() - started) * 1000)
     written = file_sizes(frame.sparkSession, path)
-    return written.select(
+    entry = written.select(
         F.lit(path).alias("path"),
         F.lit(None).cast("string").alias("window_start"),
         "files",
@@ -59,6 +60,12 @@ def write_snapshot(frame: DataFrame, path: str) -> DataFrame:
         F.coalesce("bytes", F.lit(0)).alias("bytes"),
         F.lit(elapsed).cast("bigint").alias("elapsed_ms"),
     )
+    return _settled(entry)
+
+
+def _settled(manifest: DataFrame) -> DataFrame:
+    """A manifest as it is now, one row per output written; later writes do not change it."""
+    return manifest.sparkSession.createDataFrame(manifest.collect(), manifest.schema)
 
 
 def refresh_partitions(
@@ -80,7 +87,6 @@ def refresh_partitions(
     seen = Observation()
     observed = frame.observe(
         seen,
-        F.count(F.lit(1)).alias("all_rows"),
         *[F.count_if(_in_window(w)).alias(f"w{i}") for i, w in enumerate(windows)],
     )
     started = time.monotonic()
@@ -95,8 +101,8 @@ def refresh_partitions(
     elapsed = int((time.monotonic() - started) * 1000)
 
     body = spark.createDataFrame([], frame.drop(*partition_by).schema)
-    for i, window in enumerate(windows):
-        if seen.get[f"w{i}"] == 0:
+    for window, rows in zip(windows, _rows_per_window(frame, seen, windows)):
+        if rows == 0:
             folder = "/".join(f"{c}={window[c]}" for c in partition_by)
             body.coalesce(1).write.mode("overwrite").option("compression", COMPRESSION).parquet(
                 f"{path}/{folder}"
@@ -109,7 +115,7 @@ def refresh_partitions(
         [tuple(w.values()) for w in windows], ", ".join(f"{c} STRING" for c in partition_by)
     )
     label = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in partition_by])
-    return listed.join(counted, list(partition_by), "left").select(
+    manifest = listed.join(counted, list(partition_by), "left").select(
         F.concat(F.lit(path + "/"), label).alias("path"),
         label.alias("window_start"),
         F.coalesce("files", F.lit(0)).alias("files"),
@@ -117,6 +123,20 @@ def refresh_partitions(
         F.coalesce("bytes", F.lit(0)).alias("bytes"),
         F.lit(elapsed).cast("bigint").alias("elapsed_ms"),
     )
+    return _settled(manifest)
+
+
+def _rows_per_window(
+    frame: DataFrame, seen: Observation, windows: Sequence[Mapping[str, str]]
+) -> list[int]:
+    """Observed rows of each window. A frame found empty while running has no metrics; it is counted."""
+    names = [f"w{i}" for i in range(len(windows))]
+    try:
+        found = seen.get
+    except Py4JJavaError:
+        counts = [F.count_if(_in_window(w)).alias(n) for n, w in zip(names, windows)]
+        found = frame.agg(*counts).first().asDict()
+    return [found[n] for n in names]
 
 
 def _in_window(window: Mapping[str, str]) -> Column:

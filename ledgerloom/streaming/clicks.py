@@ -52,7 +52,9 @@ def ingest_clicks(clicks: DataFrame, target: str, checkpoint: str) -> StreamingQ
 
 def distinct_recent_clicks(clicks: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """De-duplicated stream with bounded state: repeats are caught within the lateness only."""
-    return clicks.withWatermark("last_modified_date", lateness).dropDuplicatesWithinWatermark(list(KEY))
+    timed = clicks.withColumn("_event_time", F.col("last_modified_date").cast("timestamp"))
+    late = timed.withWatermark("_event_time", lateness)
+    return late.dropDuplicatesWithinWatermark(list(KEY)).drop("_event_time")
 
 
 def ingest_click_folder(
