@@ -373,6 +373,12 @@ ORACLES["snapshot_users"] = _snapshot_sql(
 )
 ORACLES["snapshot_wares"] = _snapshot_sql("wares")
 ORACLES["snapshot_wpcs"] = _snapshot_sql("wpcs", **_double("booster"))
+ORACLES["inventories_grouped"] = _with(
+    ("inventories", "inventory_groups"),
+    """select i.id, i.inventory_group_id, i.product_name, i.provider_id, g.index as group_index,
+              g.shipping_cost::double as group_shipping_cost
+       from e_inventories i left join e_inventory_groups g on g.id = i.inventory_group_id""",
+)
 ORACLES["snapshot_registered"] = ORACLES["snapshot_wares"]
 
 # Events and forms.
@@ -497,6 +503,7 @@ ORACLES["clicks_dedupe"] = _with(
     ("session_clicks",), f"select {_CLICK_FIELDS} from first_rows", _FIRST_CLICKS
 )
 ORACLES["clicks_inserted_twice"] = ORACLES["clicks_dedupe"]
+ORACLES["clicks_inserted_bucketed"] = ORACLES["clicks_dedupe"]
 ORACLES["clicks_new_only"] = _with(
     ("session_clicks",),
     f"""select {_CLICK_FIELDS} from first_rows f

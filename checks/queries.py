@@ -15,10 +15,15 @@ from ledgerloom.operators.paging import page_after, page_at
 from ledgerloom.operators.reduce import pick_rows
 from ledgerloom.plans import boost, clicks, events, invoices, orders, proposals, purchase_orders
 from ledgerloom.plans.ratings import rating_report
-from ledgerloom.plans.snapshots import SNAPSHOTS, address_lines, snapshot
+from ledgerloom.plans.snapshots import SNAPSHOTS, address_lines, grouped_inventories, snapshot
 from ledgerloom.sinks.catalog import register
 from ledgerloom.sinks.parquet import dataset_path, refresh_partitions, write_snapshot
-from ledgerloom.sinks.upsert import insert_new_clicks, stored_clicks
+from ledgerloom.sinks.upsert import (
+    create_click_table,
+    insert_new_clicks,
+    insert_new_clicks_into,
+    stored_clicks,
+)
 from ledgerloom.sources.objects import list_objects, read_click_lines
 from ledgerloom.streaming.clicks import ingest_clicks
 
@@ -135,6 +140,10 @@ def address_line(spark, folder):
     return address_lines(Entities(spark, folder)["addresses"])
 
 
+def inventories_grouped(spark, folder):
+    return grouped_inventories(*Entities(spark, folder).frames("inventories", "inventory_groups"))
+
+
 def events_month_week(spark, folder):
     return events.events_by_module(Entities(spark, folder)["events"])
 
@@ -210,6 +219,17 @@ def clicks_inserted_twice(spark, folder):
     return stored_clicks(spark, target)
 
 
+def clicks_inserted_bucketed(spark, folder):
+    """The same into a catalog table bucketed by id."""
+    rows = Entities(spark, folder)["session_clicks"]
+    table = "ledgerloom_clicks"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    create_click_table(spark, table, dataset_path(work_folder(spark), "clicks"), 8)
+    insert_new_clicks_into(rows, table, 8)
+    insert_new_clicks_into(rows, table, 8)
+    return spark.table(table)
+
+
 def stream_clicks_available_now(spark, folder):
     """The events files as a stream of clicks, inserted by key."""
     base = spark.read.parquet(f"{folder}/events.parquet")
@@ -345,8 +365,8 @@ def snapshot_registered(spark, folder):
     path = dataset_path(work_folder(spark), "wares")
     rows = snapshot("wares", Entities(spark, folder)["wares"])
     write_snapshot(rows, path)
+    spark.sql("DROP TABLE IF EXISTS ledgerloom_wares")
     register(spark, "ledgerloom_wares", path, rows.schema)
-    spark.sql(f"ALTER TABLE ledgerloom_wares SET LOCATION '{path}'")
     return spark.table("ledgerloom_wares")
 
 
@@ -383,6 +403,7 @@ QUERIES: dict[str, Query] = {
             "shippings", "taxes", "users", "wares", "wpcs",
         )
     },
+    "inventories_grouped": inventories_grouped,
     "events_month_week": events_month_week,
     "events_month_week_windowed": events_month_week_windowed,
     "events_session_email": events_session_email,
@@ -396,6 +417,7 @@ QUERIES: dict[str, Query] = {
     "clicks_high_water_marks": clicks_high_water_marks,
     "clicks_from_objects": clicks_from_objects,
     "clicks_inserted_twice": clicks_inserted_twice,
+    "clicks_inserted_bucketed": clicks_inserted_bucketed,
     "stream_clicks_available_now": stream_clicks_available_now,
     "booster_writeback": booster_writeback,
     "page_keyset": page_keyset,

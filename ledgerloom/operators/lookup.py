@@ -4,32 +4,36 @@ A foreign key may be hot: a third of the parents can point at the same child, or
 broadcasts the child when its planned size is under the session's threshold, and then no key can be
 hot. Above the threshold the lookup is salted:
 
-* hot keys are found by counting the key column alone (partial aggregates, tiny shuffle);
-* a hot or null key is spread over `salts` partitions by a hash of the parent's own identity, which
-  gives the same salt when a lost task is run again;
-* only the child rows of hot keys are repeated, once per salt.
-
-The frame of hot keys is broadcast. It has at most (parent rows / hot_rows) rows.
+* hot keys are found by counting the key column alone (partial aggregates, a narrow shuffle);
+* the rows of a hot key are spread over as many salts as it has multiples of `hot_rows`, by a hash of
+  the parent's own identity, which gives the same salt when a lost task is run again;
+* only the child rows of hot keys are repeated, once per salt, so no more than
+  2 * (parent rows / hot_rows) rows are added in total;
+* rows without a key match nothing and are spread over the shuffle partitions.
+
+The frame of hot keys is broadcast. It has at most (parent rows / hot_rows) narrow rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+HOT_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class SkewPolicy:
     """When to salt and how far. Values left out are taken from the session: the broadcast threshold,
-    `ledgerloom.lookup.hotRows`, and as many salts as there are shuffle partitions."""
+    `ledgerloom.lookup.hotRows`, and as many places for null keys as there are shuffle partitions."""
 
     broadcast_bytes: int | None = None
     hot_rows: int | None = None
-    salts: int | None = None
+    null_salts: int | None = None
 
     def broadcast_limit(self, spark: SparkSession) -> int:
         if self.broadcast_bytes is not None:
@@ -39,11 +43,10 @@ class SkewPolicy:
     def hot_limit(self, spark: SparkSession) -> int:
         return self.hot_rows or int(spark.conf.get("ledgerloom.lookup.hotRows", str(HOT_ROWS)))
 
-    def salt_count(self, spark: SparkSession) -> int:
-        return self.salts or max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    def null_spread(self, spark: SparkSession) -> int:
+        return self.null_salts or max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-HOT_ROWS = 1_000_000
 DEFAULT_POLICY = SkewPolicy()
 
 
@@ -68,51 +71,55 @@ def lookup(
     spread_by: Sequence[str] = ("id",),
     policy: SkewPolicy = DEFAULT_POLICY,
     key_source: DataFrame | None = None,
+    child_bytes: int | None = None,
 ) -> DataFrame:
     """Join each parent row to the child row of its key; child keys are dropped from the result.
 
     The child holds one row per key for left and inner joins. `key_source` may give a cheaper frame
-    to count keys on than the parent's own plan; it needs the parent key columns only.
+    to count keys on than the parent's own plan; it needs the parent key columns only. `child_bytes`
+    replaces Catalyst's estimate where that is far off, as for a child that is itself a lookup.
     """
     spark = parent.sparkSession
     keys = {parent_key: f"_key_{i}" for i, parent_key in enumerate(on)}
-    renamed = child.withColumnsRenamed({on[k]: keys[k] for k in on})
-    if planned_bytes(child) <= policy.broadcast_limit(spark):
-        matched = parent.join(renamed, _equal(keys), how)
-        return matched.drop(*keys.values())
+    child = child.withColumnsRenamed({on[k]: keys[k] for k in on})
+    size = planned_bytes(child) if child_bytes is None else child_bytes
+    if size <= policy.broadcast_limit(spark):
+        small = child if child_bytes is None else F.broadcast(child)
+        return parent.join(small, _equal(keys), how).drop(*keys.values())
 
-    salts = policy.salt_count(spark)
-    source = key_source if key_source is not None else parent
+    source = parent if key_source is None else key_source
     hot = hot_keys(source, list(on), policy.hot_limit(spark))
-    hot_parent = F.broadcast(hot.withColumnsRenamed({k: f"_hot_{i}" for i, k in enumerate(on)}))
-    hot_left = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_hot_{i}") for i, k in enumerate(on)])
-    hot_right = reduce(
-        lambda a, b: a & b, [F.col(c) == F.col(f"_hot_{i}") for i, c in enumerate(keys.values())]
-    )
+    own = F.xxhash64(*spread_by)
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    own_salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    hot_columns = [f"_hot_{i}" for i in range(len(on))]
-
-    spread = (
-        parent.join(hot_parent, hot_left, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | no_key, own_salt).otherwise(F.lit(0)))
-        .drop("_hot", *hot_columns)
+    place = (
+        F.when(no_key, F.pmod(own, F.lit(policy.null_spread(spark))))
+        .when(F.col("_salts").isNotNull(), F.pmod(own, F.col("_salts")))
+        .otherwise(F.lit(0))
     )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    spread = _flag_hot(parent, hot, on).withColumn("_salt", place.cast("int")).drop("_salts")
     repeated = (
-        renamed.join(hot_parent, hot_right, "left")
-        .withColumn("_child_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("_hot", *hot_columns)
+        _flag_hot(child, hot.withColumnsRenamed(keys), keys.values())
+        .withColumn("_child_salt", F.explode(copies))
+        .drop("_salts")
     )
     matched = spread.join(repeated, _equal(keys) & (F.col("_salt") == F.col("_child_salt")), how)
     return matched.drop("_salt", "_child_salt", *keys.values())
 
 
 def hot_keys(source: DataFrame, keys: Sequence[str], at_least: int) -> DataFrame:
-    """Keys held by at least so many rows, flagged `_hot`."""
+    """Keys held by at least so many rows, with the number of salts `_salts` they are spread over."""
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     counted = source.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counted.where(F.col("_rows") >= at_least).select(*keys, F.lit(True).alias("_hot"))
+    salts = F.ceil(F.col("_rows") / at_least).cast("int")
+    return counted.where(F.col("_rows") >= at_least).select(*keys, salts.alias("_salts"))
+
+
+def _flag_hot(frame: DataFrame, hot: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """The frame with `_salts` of its key, null where the key is not hot."""
+    named = {k: f"_hot_{i}" for i, k in enumerate(keys)}
+    flagged = frame.join(F.broadcast(hot.withColumnsRenamed(named)), _equal(named), "left")
+    return flagged.drop(*named.values())
 
 
 def keep_related(

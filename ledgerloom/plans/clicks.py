@@ -108,7 +108,21 @@ def unseen_clicks(clicks: DataFrame, stored: DataFrame) -> DataFrame:
     Both sides are unique on the key, so no key is hot, and the de-duplicated side is already
     partitioned by it. Only the key columns of the stored table are read.
     """
-    return first_clicks(clicks).join(stored.select(*KEY), list(KEY), "left_anti").select(*clicks.columns)
+    fresh = first_clicks(clicks)
+    return fresh.join(stored.select(*KEY), list(KEY), "left_anti").select(*clicks.columns)
+
+
+def unseen_clicks_by_bucket(clicks: DataFrame, stored: DataFrame, buckets: int) -> DataFrame:
+    """The same against a table bucketed by id: the new rows are moved to its buckets and the stored
+    keys are compared where they lie.
+
+    The year is compared as a difference, so that the join key is the id alone, as in the bucketing.
+    An id has at most one row per year on either side.
+    """
+    fresh = first_clicks(clicks).repartition(buckets, "id")
+    keys = stored.select(F.col("id").alias("_id"), F.col("year").alias("_year"))
+    same = (F.col("id") == F.col("_id")) & (F.col("year") - F.col("_year") == 0)
+    return fresh.join(keys, same, "left_anti").select(*clicks.columns)
 
 
 def flat_clicks(clicks: DataFrame) -> DataFrame:

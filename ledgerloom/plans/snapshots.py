@@ -6,7 +6,7 @@ Column pruning follows from the output list: a scan reads only what a snapshot n
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ from ..functions.text import (
     or_timestamp,
 )
 from ..operators.contracts import Rule, enforce, not_null
+from ..operators.lookup import DEFAULT_POLICY, SkewPolicy, lookup
 from ..operators.project import select_list
 
 # Fixed values of the outputs: placeholders for missing dates, the reference types, the weights of
@@ -51,7 +52,6 @@ class Snapshot:
     expressions: Callable[[], Mapping[str, Column]] = dict
     where: Callable[[], Column] | None = None
     rules: Callable[[], Sequence[Rule]] = list
-    notes: str = field(default="")
 
 
 def _doubles(*columns: str) -> dict[str, Column]:
@@ -256,3 +256,16 @@ def address_lines(addresses: DataFrame) -> DataFrame:
     """The one-line form of each address."""
     parts = [F.col(c) for c in ("street", "street2", "city", "state", "zipcode", "country")]
     return addresses.select("id", address_line(*parts).alias("address"))
+
+
+def grouped_inventories(
+    inventories: DataFrame, inventory_groups: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """Inventory items with the position and shipping cost of their group."""
+    groups = inventory_groups.select(
+        F.col("id").alias("_group"),
+        F.col("index").alias("group_index"),
+        as_double(F.col("shipping_cost")).alias("group_shipping_cost"),
+    )
+    items = inventories.select("id", "inventory_group_id", "product_name", "provider_id")
+    return lookup(items, groups, {"inventory_group_id": "_group"}, policy=policy)

@@ -19,10 +19,20 @@ RUNTIME_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+ADVISORY_BYTES = 128 << 20
+
+
+def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings to an existing session.
+
+    `shuffle_bytes` is the largest amount of data a run is expected to shuffle. AQE merges shuffle
+    partitions but does not add any, so they are started at the advisory size for that amount.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if shuffle_bytes is not None:
+        partitions = max(200, -(-shuffle_bytes // ADVISORY_BYTES))
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return spark
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.boost import boosted
-from ..plans.clicks import click_rows, unseen_clicks
+from ..plans.clicks import click_rows, unseen_clicks, unseen_clicks_by_bucket
 from ..schemas import table_schema
 from ..sources.objects import click_object_years, read_click_lines
 from .parquet import COMPRESSION
@@ -27,16 +27,23 @@ def stored_clicks(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def _years(clicks: DataFrame, years: Sequence[int] | None) -> list[int]:
+    """Calendar years of the rows, read from them when the caller does not know them."""
+    if years is None:
+        years = [r["year"] for r in clicks.select("year").distinct().collect()]
+    return sorted(years)
+
+
 def insert_new_clicks(clicks: DataFrame, path: str, years: Sequence[int] | None = None) -> None:
     """Append the clicks whose (id, year) is not stored, partitioned by year.
 
     Running it again with the same rows appends nothing, also when an earlier run failed half-way.
-    Only the stored years of the new rows are compared. They are one value per calendar year; when
-    the caller does not know them they are read from the rows first.
+    Only the stored years of the new rows are compared, and only their keys are read. The keys of a
+    year are moved for the comparison; where that is too much, keep the table bucketed (see
+    create_click_table).
     """
     spark = clicks.sparkSession
-    if years is None:
-        years = sorted(r["year"] for r in clicks.select("year").distinct().collect())
+    years = _years(clicks, years)
     if not years:
         return
     history = stored_clicks(spark, path).where(F.col("year").isin(*years))
@@ -50,6 +57,32 @@ def insert_new_clicks(clicks: DataFrame, path: str, years: Sequence[int] | None
     )
 
 
+def create_click_table(spark: SparkSession, table: str, path: str, buckets: int) -> None:
+    """A catalog table of clicks, partitioned by year and bucketed by id."""
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in table_schema("clicks").fields
+    )
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet"
+        f" OPTIONS (compression '{COMPRESSION}') PARTITIONED BY (year)"
+        f" CLUSTERED BY (id) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+
+
+def insert_new_clicks_into(
+    clicks: DataFrame, table: str, buckets: int, years: Sequence[int] | None = None
+) -> None:
+    """The same for a bucketed table: stored keys are compared where they lie, only new rows move."""
+    spark = clicks.sparkSession
+    years = _years(clicks, years)
+    if not years:
+        return
+    history = spark.table(table).where(F.col("year").isin(*years))
+    columns = table_schema("clicks").names
+    fresh = unseen_clicks_by_bucket(clicks, history, buckets)
+    fresh.select(*columns).write.insertInto(table)
+
+
 def ingest_recent_clicks(spark: SparkSession, base: str, today: date, path: str) -> None:
     """Insert the clicks of the last day folders; the years come from the file listing."""
     years = [r["year"] for r in click_object_years(spark, base, today).collect()]

@@ -8,7 +8,13 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import clicks
-from ledgerloom.sinks.upsert import ingest_recent_clicks, insert_new_clicks, stored_clicks
+from ledgerloom.sinks.upsert import (
+    create_click_table,
+    ingest_recent_clicks,
+    insert_new_clicks,
+    insert_new_clicks_into,
+    stored_clicks,
+)
 from ledgerloom.sources.objects import day_folders, list_objects, read_click_lines
 from ledgerloom.streaming.clicks import (
     distinct_recent_clicks,
@@ -177,3 +183,16 @@ def test_listing(spark, tmp_path):
     assert listed.columns == ["path", "modificationTime", "length"] and listed.count() == 2
     assert listed.where(F.col("length") > 0).count() == 2
     assert list_objects(spark, str(tmp_path), "clicks*").count() == 1
+
+
+def test_bucketed_insert(spark, table, tmp_path):
+    create_click_table(spark, "t_click_store", f"{tmp_path}/t", 4)
+    rows = table("clicks", *[dict(id=f"i{i % 7}", year=2023 + i % 2, data=str(i)) for i in range(40)])
+    for _ in range(2):
+        insert_new_clicks_into(rows, "t_click_store", 4)
+        assert spark.table("t_click_store").count() == 14
+    more = table("clicks", dict(id="i0", year=2023, data="x"), dict(id="new", year=2025, data="y"))
+    insert_new_clicks_into(more, "t_click_store", 4)
+    assert spark.table("t_click_store").count() == 15
+    assert spark.table("t_click_store").where("data = 'x'").count() == 0
+    spark.sql("DROP TABLE t_click_store")

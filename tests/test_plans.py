@@ -9,11 +9,12 @@ from ledgerloom.operators.reduce import Satellite, gather
 from ledgerloom.plans import clicks, events, purchase_orders
 from ledgerloom.plans.snapshots import snapshot
 from ledgerloom.schemas import table_schema
+from ledgerloom.sinks.upsert import create_click_table
 
 FOLDER = "/root/testdata/sf0.001"
 # Queries that write or stream while they are built.
 WRITERS = {
-    "clicks_from_objects", "clicks_inserted_twice", "stream_clicks_available_now", "run_manifest",
+    "clicks_from_objects", "clicks_inserted_twice", "clicks_inserted_bucketed", "stream_clicks_available_now", "run_manifest",
     "partition_refresh", "week_partition_refresh", "snapshot_registered",
 }
 
@@ -126,3 +127,18 @@ def test_stored_click_bodies_are_not_read_for_the_key_check(stored):
     scans = [s for s in plan_of(clicks.unseen_clicks(rows, rows)).splitlines() if "FileScan" in s]
     read = sorted("data:" in s.split("ReadSchema:")[1] for s in scans)
     assert read == [False, True]
+
+
+def test_bucketed_history_is_not_shuffled(spark, stored, tmp_path):
+    create_click_table(spark, "t_clicks", f"{tmp_path}/t", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        history = spark.table("t_clicks").where("year = 2024")
+        plan = plan_of(clicks.unseen_clicks_by_bucket(stored("clicks"), history, 4))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.sql("DROP TABLE t_clicks")
+    history = next(s for s in plan.split("FileScan") if "t_clicks" in s)
+    assert "Bucketed: true" in history and "PartitionFilters: [isnotnull(year" in history
+    # New rows move once for the de-duplication and once to the buckets; stored keys do not move.
+    assert plan.count("Exchange hashpartitioning") == 2
