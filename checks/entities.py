@@ -7,6 +7,7 @@ nulls. `{table}` stands for a base table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -403,6 +404,10 @@ VIEWS: dict[str, str] = {
 }
 
 
+# Schemas by path, so that a table's footer is read for its schema once and not for every query.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Entities:
     """Entity frames over the Parquet tables of a folder, built when asked for."""
 
@@ -411,7 +416,10 @@ class Entities:
         self.folder = folder
 
     def base(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        path = f"{self.folder}/{table}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def __getitem__(self, entity: str) -> DataFrame:
         text = VIEWS[entity].replace("as timestamp)", "as timestamp_ntz)")
