@@ -9,7 +9,7 @@ hot. Above the threshold the lookup is salted:
   the parent's own identity, which gives the same salt when a lost task is run again;
 * only the child rows of hot keys are repeated, once per salt, so no more than
   2 * (parent rows / hot_rows) rows are added in total;
-* rows without a key match nothing and are spread over the shuffle partitions.
+* rows without a key match nothing; each gets a salt of its own, so they spread evenly.
 
 The frame of hot keys is broadcast. It has at most (parent rows / hot_rows) narrow rows.
 """
@@ -24,16 +24,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+MAX_SALT = (1 << 31) - 1
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When to salt and how far. Values left out are taken from the session: the broadcast threshold,
-    `ledgerloom.lookup.hotRows`, and as many places for null keys as there are shuffle partitions."""
+    """When to salt and how far. Values left out are taken from the session: the broadcast threshold
+    and `ledgerloom.lookup.hotRows`."""
 
     broadcast_bytes: int | None = None
     hot_rows: int | None = None
-    null_salts: int | None = None
 
     def broadcast_limit(self, spark: SparkSession) -> int:
         if self.broadcast_bytes is not None:
@@ -43,9 +43,6 @@ class SkewPolicy:
     def hot_limit(self, spark: SparkSession) -> int:
         return self.hot_rows or int(spark.conf.get("ledgerloom.lookup.hotRows", str(HOT_ROWS)))
 
-    def null_spread(self, spark: SparkSession) -> int:
-        return self.null_salts or max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-
 
 DEFAULT_POLICY = SkewPolicy()
 
@@ -63,6 +60,11 @@ def planned_bytes(frame: DataFrame) -> int:
     return int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def is_small(frame: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> bool:
+    """Whether Catalyst will broadcast the frame by itself; nothing is hinted."""
+    return planned_bytes(frame) <= policy.broadcast_limit(frame.sparkSession)
+
+
 def lookup(
     parent: DataFrame,
     child: DataFrame,
@@ -71,28 +73,24 @@ def lookup(
     spread_by: Sequence[str] = ("id",),
     policy: SkewPolicy = DEFAULT_POLICY,
     key_source: DataFrame | None = None,
-    child_bytes: int | None = None,
 ) -> DataFrame:
     """Join each parent row to the child row of its key; child keys are dropped from the result.
 
     The child holds one row per key for left and inner joins. `key_source` may give a cheaper frame
-    to count keys on than the parent's own plan; it needs the parent key columns only. `child_bytes`
-    replaces Catalyst's estimate where that is far off, as for a child that is itself a lookup.
+    to count keys on than the parent's own plan; it needs the parent key columns only.
     """
     spark = parent.sparkSession
     keys = {parent_key: f"_key_{i}" for i, parent_key in enumerate(on)}
     child = child.withColumnsRenamed({on[k]: keys[k] for k in on})
-    size = planned_bytes(child) if child_bytes is None else child_bytes
-    if size <= policy.broadcast_limit(spark):
-        small = child if child_bytes is None else F.broadcast(child)
-        return parent.join(small, _equal(keys), how).drop(*keys.values())
+    if is_small(child, policy):
+        return parent.join(child, _equal(keys), how).drop(*keys.values())
 
     source = parent if key_source is None else key_source
     hot = hot_keys(source, list(on), policy.hot_limit(spark))
     own = F.xxhash64(*spread_by)
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
     place = (
-        F.when(no_key, F.pmod(own, F.lit(policy.null_spread(spark))))
+        F.when(no_key, F.pmod(own, F.lit(MAX_SALT)))
         .when(F.col("_salts").isNotNull(), F.pmod(own, F.col("_salts")))
         .otherwise(F.lit(0))
     )

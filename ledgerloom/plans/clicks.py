@@ -95,10 +95,13 @@ def click_rows(lines: DataFrame) -> DataFrame:
 
 
 def first_clicks(clicks: DataFrame) -> DataFrame:
-    """One row per (id, year): the earliest by file time, then file name, then text."""
-    rest = [c for c in clicks.columns if c not in KEY]
-    rank = F.struct("last_modified_date", "file_name", "data")
-    kept = clicks.groupBy(*KEY).agg(F.min_by(F.struct(*rest), rank).alias("_row"))
+    """One row per (id, year): the earliest by file time, then file name, then text.
+
+    The columns that rank a row are the row, so it is held and moved once.
+    """
+    rank = ["last_modified_date", "file_name", "data"]
+    row = F.struct(*rank, *[c for c in clicks.columns if c not in (*KEY, *rank)])
+    kept = clicks.groupBy(*KEY).agg(F.min(row).alias("_row"))
     return kept.select(*KEY, "_row.*").select(*clicks.columns)
 
 

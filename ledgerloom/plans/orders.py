@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsontext import canonical
 from ..operators.contracts import enforce, not_null
-from ..operators.lookup import DEFAULT_POLICY, SkewPolicy, attach, keep_related, lookup, planned_bytes
+from ..operators.lookup import DEFAULT_POLICY, SkewPolicy, attach, is_small, keep_related, lookup
 from ..operators.reduce import latest_per_name
 
 # Names of the dated steps of an order.
@@ -47,28 +47,27 @@ def order_report(
 ) -> DataFrame:
     """One row per order; organization and user come from the request of the order.
 
-    Requests and users are joined first, on the few columns needed, so that the wide order rows are
-    moved once for both.
+    When requests and users are small, both are broadcast onto the orders. Otherwise they are joined
+    first, on the few columns needed, so that the wide order rows are moved once for both.
     """
     if timepoint_key == "id":
         timepoints = keep_related(timepoints, orders, {"order_id": "id"}, policy=policy)
     steps = step_dates(timepoints, timepoint_key).withColumnRenamed(timepoint_key, "_order")
     emails = users.select(F.col("id").alias("_user"), F.col("email").alias("user_email"))
     asked = requests.select(
-        F.col("id").alias("_request"), F.col("organization_id").alias("_organization"), "user_id"
+        F.col("id").alias("_request"),
+        F.col("organization_id").alias("_organization"),
+        F.col("user_id").alias("_asker"),
     )
-    # One row per request with one more short text: the estimate for a join would be the product.
-    asked_bytes = 2 * planned_bytes(asked)
-    asked = lookup(
-        asked, emails, {"user_id": "_user"}, spread_by=("_request",), policy=policy
-    ).drop("user_id")
     names = providers.select(F.col("id").alias("_provider"), F.col("name").alias("provider_name"))
 
     rows = attach(orders, steps, "id", "_order")
-    rows = lookup(
-        rows, asked, {"request_id": "_request"}, policy=policy, key_source=orders,
-        child_bytes=asked_bytes,
-    )
+    by_request, by_asker = {"request_id": "_request"}, {"_asker": "_user"}
+    if is_small(asked, policy) and is_small(emails, policy):
+        rows = lookup(lookup(rows, asked, by_request, policy=policy), emails, by_asker, policy=policy)
+    else:
+        asked = lookup(asked, emails, by_asker, spread_by=("_request",), policy=policy)
+        rows = lookup(rows, asked, by_request, policy=policy, key_source=orders)
     rows = lookup(rows, names, {"provider_id": "_provider"}, policy=policy, key_source=orders)
     computed = {
         "organization_id": F.col("_organization"),

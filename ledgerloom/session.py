@@ -14,8 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Of a member named twice in a JSON object the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

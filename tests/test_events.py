@@ -47,7 +47,7 @@ def test_categories_come_from_source(table):
     assert events.events_by_module(table("events", event(1, "2024-06-08"))).first().source == ""
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(-1, 2, 3)])
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(-1, 2)])
 def test_session_email(table, policy):
     rows = table(
         "events",
@@ -82,7 +82,7 @@ def test_session_email_equals_window_form(spark, table):
     first = F.first("email", ignorenulls=True).over(frame)
     expected = rows.select("id", F.when(F.col("session_id").isNotNull(), first).alias("e"))
     want = {r.id: r.e for r in expected.collect()}
-    for policy in (SkewPolicy(), SkewPolicy(-1, 10, 4)):
+    for policy in (SkewPolicy(), SkewPolicy(-1, 10)):
         got = events.events_with_email(rows, policy=policy).select("id", "full_email").collect()
         assert {r.id: r.full_email for r in got} == want
 

@@ -76,6 +76,10 @@ def test_json_members(values):
     )
 
 
+def test_last_of_repeated_json_members_counts(values):
+    assert values(jsontext.canonical(L('{"a": 1, "a": 2}'))) == ('{"a":2}',)
+
+
 def test_canonical_json(values):
     got = values(jsontext.canonical(L('{"b": [1, 2],  "a": "x"}')), jsontext.canonical(s(None)))
     assert got == ('{"a":"x","b":[1,2]}', None)

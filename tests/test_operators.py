@@ -16,7 +16,7 @@ from ledgerloom.operators.lookup import (
 from ledgerloom.operators.paging import page_after, page_at, pages
 from ledgerloom.operators.reduce import Satellite, gather, pick_rows
 
-SALTED = SkewPolicy(broadcast_bytes=-1, hot_rows=20, null_salts=5)
+SALTED = SkewPolicy(broadcast_bytes=-1, hot_rows=20)
 
 
 @pytest.fixture
@@ -60,7 +60,7 @@ def test_hot_key_is_spread(spark, skewed):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        rows = lookup(parents, children, {"k": "c"}, policy=SkewPolicy(-1, 20, 16))
+        rows = lookup(parents, children, {"k": "c"}, policy=SkewPolicy(-1, 20))
         parts = rows.withColumn("p", F.spark_partition_id()).groupBy("k").agg(
             F.countDistinct("p").alias("p")
         )
@@ -81,7 +81,7 @@ def test_hot_keys(skewed):
 def test_related_rows(spark):
     children = spark.createDataFrame([(1, 10), (2, 20), (3, None), (4, 10)], "id int, owner int")
     owners = spark.createDataFrame([(10,), (30,), (10,)], "oid int")
-    for policy in (SkewPolicy(), SkewPolicy(-1, 1, 3)):
+    for policy in (SkewPolicy(), SkewPolicy(-1, 1)):
         kept = keep_related(children, owners, {"owner": "oid"}, policy=policy)
         gone = drop_related(children, owners, {"owner": "oid"}, policy=policy)
         assert sorted(r["id"] for r in kept.collect()) == [1, 4]

@@ -108,7 +108,7 @@ def test_type_filters_reach_the_scans(stored):
 def test_large_lookup_is_salted_and_only_hot_keys_are_broadcast(spark, stored):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        rows = events.events_with_email(stored("events"), policy=SkewPolicy(-1, 1000, 8))
+        rows = events.events_with_email(stored("events"), policy=SkewPolicy(-1, 1000))
         plan = plan_of(rows)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")

@@ -285,7 +285,7 @@ def test_order_report(table):
     # Timepoint 7 belongs to an order that does not exist.
     assert by_id[7].review_date is None
 
-    salted = orders.order_report(*inputs, policy=SkewPolicy(-1, 1, 3))
+    salted = orders.order_report(*inputs, policy=SkewPolicy(-1, 1))
     assert {r.id: r for r in salted.collect()} == got
 
 
@@ -361,6 +361,6 @@ def test_reports_keep_one_row_per_parent(table, spark):
         table("taxes", *[tax(j, 3, 2) for j in range(9)]),
         table("providers", dict(id=1, name="Lab")),
         table("action_items", *[dict(id=j, order_id=1, action_performed="new_request") for j in range(9)]),
-        policy=SkewPolicy(-1, 5, 4),
+        policy=SkewPolicy(-1, 5),
     )
     assert sorted(r.id for r in frame.collect()) == list(range(20))
