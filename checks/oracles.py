@@ -300,7 +300,7 @@ ORACLES["provider_completeness"] = _snapshot_sql(
     certifications="array_to_string(t.certifications, ', ')",
     contact_emails="array_to_string(t.contact_emails, ', ')",
     percent_completeness="""20 * (
-        select count(*) from unnest(string_split(array_to_string(t.setup, ', '), ',')) as s(item)
+        select count(*)::int from unnest(string_split(array_to_string(t.setup, ', '), ',')) as s(item)
         where ltrim(s.item) in ('Create Account', 'Update Company Profile', 'Add Addresses',
                                 'Add Certifications', 'Add Accounting Details'))""",
 )
@@ -338,9 +338,9 @@ _FIRST_MOMENT = "timestamp '0001-01-01 00:00:00'"
 ORACLES["milestone_placeholders"] = _snapshot_sql(
     "milestones",
     _type="t.type_",
-    estimated_date="coalesce(t.estimated_date::date, date '0001-01-01')",
+    estimated_date="coalesce(t.estimated_date::date, date '0001-01-01')::varchar",
     **{
-        c: f"coalesce(t.{c}, {_FIRST_MOMENT})"
+        c: f"coalesce(t.{c}, {_FIRST_MOMENT})::varchar"
         for c in ("created_at", "updated_at", "cancelled_at", "shipped_at")
     },
     **_double("quantity", "tax_rate", "unit_price", "total_price"),
@@ -505,11 +505,14 @@ ORACLES["clicks_dedupe"] = _with(
 ORACLES["clicks_inserted_twice"] = ORACLES["clicks_dedupe"]
 ORACLES["clicks_inserted_bucketed"] = ORACLES["clicks_dedupe"]
 ORACLES["clicks_new_only"] = _with(
-    ("session_clicks",),
-    f"""select {_CLICK_FIELDS} from first_rows f
-        where not exists (select 1 from e_session_clicks s
-                          where s.file_name = 'purchase.gz' and s.id = f.id and s.year = f.year)""",
-    _FIRST_CLICKS,
+    ("clicks", "session_clicks"),
+    f"""select {_CLICK_FIELDS} from (
+            select *, row_number() over (
+                       partition by id, year order by last_modified_date, file_name, data) as rn
+            from (select * from e_clicks union all select * from e_session_clicks) b) f
+        where rn = 1 and not exists (
+            select 1 from e_clicks s
+            where s.file_name = 'purchase.gz' and s.id = f.id and s.year = f.year)""",
 )
 ORACLES["clicks_high_water_mark"] = "select max(ts) as last_date from events"
 ORACLES["clicks_high_water_marks"] = """
@@ -545,13 +548,14 @@ ORACLES["page_offset"] = _with(
 )
 ORACLES["semi_reduced_children"] = _with(
     ("currencies", "proposals"),
-    """select * from e_currencies where exchangable_type = 'Pg::ProposalBase'
+    """select * replace (conversion_rate::double as conversion_rate)
+       from e_currencies where exchangable_type = 'Pg::ProposalBase'
        and exchangable_id in (select id from e_proposals where active)""",
 )
 for _name, _order in (("last_wins", "desc"), ("first_wins", "asc")):
     ORACLES[_name] = _with(
         ("shippings",),
-        "select * exclude (rn) from chosen",
+        "select * exclude (rn) replace (cost::double as cost) from chosen",
         _ranked("chosen", "e_shippings", "shipable_id", f"shipable_type {_PO_OWNED}", _order),
     )
 

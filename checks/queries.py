@@ -132,6 +132,13 @@ def _snapshot_query(name: str) -> Query:
     return run
 
 
+def milestone_placeholders(spark, folder):
+    """Milestones with their dates as text: year 1 does not fit the nanosecond dates of pandas."""
+    rows = snapshot("milestones", Entities(spark, folder)["milestones"])
+    dated = ("created_at", "updated_at", "cancelled_at", "shipped_at", "estimated_date")
+    return rows.withColumns({c: F.col(c).cast("string") for c in dated})
+
+
 def user_full_name(spark, folder):
     return snapshot("users", Entities(spark, folder)["users"]).select("id", "full_name")
 
@@ -183,10 +190,10 @@ def clicks_dedupe(spark, folder):
 
 
 def clicks_new_only(spark, folder):
-    """Session clicks whose key was not stored by the clicks of buyers."""
-    rows = Entities(spark, folder)["session_clicks"]
-    stored = rows.where(F.col("file_name") == "purchase.gz")
-    return clicks.unseen_clicks(rows, stored)
+    """Event and session clicks whose key was not stored by the clicks of purchases."""
+    e = Entities(spark, folder)
+    stored = e["clicks"].where(F.col("file_name") == "purchase.gz")
+    return clicks.unseen_clicks(e["clicks"].unionByName(e["session_clicks"]), stored)
 
 
 def clicks_high_water_mark(spark, folder):
@@ -266,17 +273,23 @@ def semi_reduced_children(spark, folder):
     e = Entities(spark, folder)
     owned = e["currencies"].where(F.col("exchangable_type") == "Pg::ProposalBase")
     active = e["proposals"].where("active")
-    return keep_related(owned, active, {"exchangable_id": "id"})
+    kept = keep_related(owned, active, {"exchangable_id": "id"})
+    return kept.withColumn("conversion_rate", F.col("conversion_rate").cast("double"))
+
+
+def _picked_shippings(spark, folder, pick: str) -> DataFrame:
+    owned = F.col("shipable_type").like("Pg::PurchaseOrder%")
+    rows = Entities(spark, folder)["shippings"].where(owned)
+    chosen = pick_rows(rows, ["shipable_id"], "id", pick)
+    return chosen.withColumn("cost", F.col("cost").cast("double"))
 
 
 def last_wins(spark, folder):
-    rows = Entities(spark, folder)["shippings"].where(F.col("shipable_type").like("Pg::PurchaseOrder%"))
-    return pick_rows(rows, ["shipable_id"], "id", "last")
+    return _picked_shippings(spark, folder, "last")
 
 
 def first_wins(spark, folder):
-    rows = Entities(spark, folder)["shippings"].where(F.col("shipable_type").like("Pg::PurchaseOrder%"))
-    return pick_rows(rows, ["shipable_id"], "id", "first")
+    return _picked_shippings(spark, folder, "first")
 
 
 def _order_days(spark, folder) -> DataFrame:
@@ -394,7 +407,7 @@ QUERIES: dict[str, Query] = {
     "address_line": address_line,
     "refs_json_fields": _snapshot_query("refs_users"),
     "refs_provider_score": _snapshot_query("refs_providers"),
-    "milestone_placeholders": _snapshot_query("milestones"),
+    "milestone_placeholders": milestone_placeholders,
     "snapshot_pruned": _snapshot_query("addresses"),
     **{
         f"snapshot_{name}": _snapshot_query(name)
