@@ -86,7 +86,8 @@ def lookup(
         return parent.join(child, _equal(keys), how).drop(*keys.values())
 
     source = parent if key_source is None else key_source
-    hot = hot_keys(source, list(on), policy.hot_limit(spark))
+    named = {k: f"_hot_{i}" for i, k in enumerate(on)}
+    hot = hot_keys(source, list(on), policy.hot_limit(spark)).withColumnsRenamed(named)
     own = F.xxhash64(*spread_by)
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
     place = (
@@ -97,7 +98,7 @@ def lookup(
     copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     spread = _flag_hot(parent, hot, on).withColumn("_salt", place.cast("int")).drop("_salts")
     repeated = (
-        _flag_hot(child, hot.withColumnsRenamed(keys), keys.values())
+        _flag_hot(child, hot, keys.values())
         .withColumn("_child_salt", F.explode(copies))
         .drop("_salts")
     )
@@ -105,6 +106,43 @@ def lookup(
     return matched.drop("_salt", "_child_salt", *keys.values())
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """A child frame with one row per key; `on` maps parent columns to child columns."""
+
+    child: DataFrame
+    on: Mapping[str, str]
+
+
+def lookups(
+    parent: DataFrame,
+    wanted: Sequence[Lookup],
+    key_source: DataFrame,
+    key: str = "id",
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """Several left lookups for a wide parent that is joined on its own unique key as well.
+
+    Small children are broadcast onto the parent. For the others only the parent's key and foreign
+    keys, read from `key_source`, go through the salted joins; what was found is attached by the key.
+    So the wide rows are moved once, by their own key, however many large lookups there are.
+    """
+    large = []
+    for item in wanted:
+        if is_small(item.child, policy):
+            parent = lookup(parent, item.child, item.on, policy=policy)
+        else:
+            large.append(item)
+    if not large:
+        return parent
+    foreign = list(dict.fromkeys(k for item in large for k in item.on))
+    found = key_source.select(key, *foreign)
+    for item in large:
+        found = lookup(found, item.child, item.on, "left", (key,), policy, key_source)
+    found = found.drop(*foreign).withColumnRenamed(key, "_found_for")
+    return attach(parent, found, key, "_found_for")
+
+
 def hot_keys(source: DataFrame, keys: Sequence[str], at_least: int) -> DataFrame:
     """Keys held by at least so many rows, with the number of salts `_salts` they are spread over."""
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -114,10 +152,12 @@ def hot_keys(source: DataFrame, keys: Sequence[str], at_least: int) -> DataFrame
 
 
 def _flag_hot(frame: DataFrame, hot: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """The frame with `_salts` of its key, null where the key is not hot."""
+    """The frame with `_salts` of its key, null where the key is not hot.
+
+    Both sides of a lookup join the same hot frame, so its broadcast is built once.
+    """
     named = {k: f"_hot_{i}" for i, k in enumerate(keys)}
-    flagged = frame.join(F.broadcast(hot.withColumnsRenamed(named)), _equal(named), "left")
-    return flagged.drop(*named.values())
+    return frame.join(F.broadcast(hot), _equal(named), "left").drop(*named.values())
 
 
 def keep_related(

@@ -7,7 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions.jsontext import canonical
 from ..operators.contracts import enforce, not_null
-from ..operators.lookup import DEFAULT_POLICY, SkewPolicy, attach, is_small, keep_related, lookup
+from ..operators.lookup import (
+    DEFAULT_POLICY,
+    Lookup,
+    SkewPolicy,
+    attach,
+    is_small,
+    keep_related,
+    lookup,
+    lookups,
+)
 from ..operators.reduce import latest_per_name
 
 # Names of the dated steps of an order.
@@ -48,7 +57,7 @@ def order_report(
     """One row per order; organization and user come from the request of the order.
 
     When requests and users are small, both are broadcast onto the orders. Otherwise they are joined
-    first, on the few columns needed, so that the wide order rows are moved once for both.
+    first, on the few columns needed, and looked up for both at once.
     """
     if timepoint_key == "id":
         timepoints = keep_related(timepoints, orders, {"order_id": "id"}, policy=policy)
@@ -64,11 +73,12 @@ def order_report(
     rows = attach(orders, steps, "id", "_order")
     by_request, by_asker = {"request_id": "_request"}, {"_asker": "_user"}
     if is_small(asked, policy) and is_small(emails, policy):
-        rows = lookup(lookup(rows, asked, by_request, policy=policy), emails, by_asker, policy=policy)
+        foreign = [Lookup(asked, by_request), Lookup(emails, by_asker)]
     else:
         asked = lookup(asked, emails, by_asker, spread_by=("_request",), policy=policy)
-        rows = lookup(rows, asked, by_request, policy=policy, key_source=orders)
-    rows = lookup(rows, names, {"provider_id": "_provider"}, policy=policy, key_source=orders)
+        foreign = [Lookup(asked, by_request)]
+    foreign.append(Lookup(names, {"provider_id": "_provider"}))
+    rows = lookups(rows, foreign, orders, policy=policy)
     computed = {
         "organization_id": F.col("_organization"),
         "obligations": canonical(F.col("obligations")),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import money, purchasing
 from ..functions.text import flag_text, joined
 from ..operators.contracts import Rule, enforce, not_null
-from ..operators.lookup import DEFAULT_POLICY, SkewPolicy, attach, lookup
+from ..operators.lookup import DEFAULT_POLICY, Lookup, SkewPolicy, attach, lookups
 from ..operators.reduce import Satellite, gather
 
 # Type names of the source database.
@@ -85,7 +85,7 @@ def purchase_order_report(
     """One row per numbered customer purchase order, with prices, tax and shipping in USD.
 
     Children keyed by the order's own id are gathered with one shuffle and attached on a unique key.
-    The three foreign keys (proposal, provider, order) may be hot and go through `lookup`.
+    The three foreign keys (proposal, provider, order) may be hot and go through `lookups`.
     """
     customer = purchase_orders.where(
         F.col("type_").isin(*CUSTOMER_TYPES)
@@ -127,9 +127,12 @@ def purchase_order_report(
     names = providers.select(F.col("id").alias("_provider"), F.col("name").alias("provider_name"))
 
     rows = attach(customer, own, "id", "_po")
-    rows = lookup(rows, proposal, {"proposal_id": "_proposal"}, policy=policy, key_source=customer)
-    rows = lookup(rows, supplier, {"order_id": "_order"}, policy=policy, key_source=customer)
-    rows = lookup(rows, names, {"provider_id": "_provider"}, policy=policy, key_source=customer)
+    foreign = [
+        Lookup(proposal, {"proposal_id": "_proposal"}),
+        Lookup(supplier, {"order_id": "_order"}),
+        Lookup(names, {"provider_id": "_provider"}),
+    ]
+    rows = lookups(rows, foreign, customer, policy=policy)
 
     rows = rows.withColumns(
         {

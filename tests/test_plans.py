@@ -142,3 +142,18 @@ def test_bucketed_history_is_not_shuffled(spark, stored, tmp_path):
     assert "Bucketed: true" in history and "PartitionFilters: [isnotnull(year" in history
     # New rows move once for the de-duplication and once to the buckets; stored keys do not move.
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_wide_rows_move_once_for_all_large_lookups(spark, stored):
+    names = ("purchase_orders", "currencies", "shippings", "taxes", "providers", "action_items")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = purchase_orders.purchase_order_report(*[stored(n) for n in names])
+        lines = plan_of(report).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    wide = [i for i, line in enumerate(lines) if "FileScan" in line and "payment_terms:" in line]
+    assert len(wide) == 1
+    # Going up from the wide scan, the first exchange is by id; its joins by id need no other.
+    above = [line for line in lines[: wide[0]] if "Exchange hashpartitioning" in line]
+    assert "hashpartitioning(id#" in above[-1] and len(above) == 1
