@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, langid, simhash
+from ledgerloom.llm import decontaminate, langid, simhash, topk
 from ledgerloom.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
+    "op5_exact_topk": op5_exact_topk,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
@@ -63,4 +68,20 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM words LEFT JOIN hit USING (rid) LEFT JOIN ids USING (rid)
 """
 
-ORACLES: dict[str, str] = {"op10_benchmark_decontamination": OP10_SQL}
+OP5_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS row_no, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.row_no AS q_row, q.vec_id AS query_id, x.vec_id, x.row_no,
+         CAST(list_inner_product(CAST(q.c AS DOUBLE[]), CAST(x.c AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.row_no <> x.row_no WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q_row ORDER BY score DESC, vec_id, row_no) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_exact_topk": OP5_SQL,
+    "op10_benchmark_decontamination": OP10_SQL,
+}
