@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, langid, licenses, simhash, topk
+from ledgerloom.llm import decontaminate, langid, licenses, simhash, substrings, topk
 from ledgerloom.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("matches")
 
@@ -42,6 +46,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op5_exact_topk": op5_exact_topk,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_license_scan": op7_license_scan,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
@@ -86,7 +91,23 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY q_row ORDER BY score DESC,
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+OP6_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+wins AS (
+  SELECT rid, s, hash(array_to_string(w[s : s + 34], ' ')) AS win
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS s FROM docs WHERE len(w) >= 35)),
+twice AS (SELECT win FROM wins GROUP BY win HAVING count(*) > 1),
+gone AS (SELECT rid, list(DISTINCT p) AS ps FROM (SELECT rid, unnest(range(s, s + 35)) AS p FROM wins WHERE win IN (SELECT win FROM twice)) GROUP BY rid),
+kept AS (
+  SELECT rid, string_agg(x, ' ' ORDER BY p) AS t FROM (SELECT rid, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM docs)
+  ANTI JOIN (SELECT rid, unnest(ps) AS p FROM gone) g USING (rid, p) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM docs LEFT JOIN gone USING (rid) LEFT JOIN kept USING (rid)
+"""
+
 ORACLES: dict[str, str] = {
+    "op6_substring_dedup": OP6_SQL,
     "op5_exact_topk": OP5_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }
