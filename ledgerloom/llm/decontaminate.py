@@ -27,7 +27,8 @@ WINDOW = 13
 PART_BYTES = 16 << 20
 # A document is contaminated if at least one in RATIO of its words is hit.
 RATIO = 20
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+# Words of the original text, with either case of A-Z.
+WORD = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+")
 
 
 def item_windows(text: str | None, window: int = WINDOW) -> set[str]:
