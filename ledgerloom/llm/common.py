@@ -50,6 +50,7 @@ def map_texts(
     schema: str,
     work: Callable[[dict[str, list]], dict[str, Sequence]],
     setup: Callable[[], Callable[[dict[str, list]], dict[str, Sequence]]] | None = None,
+    chars: int = BATCH_CHARS,
 ) -> DataFrame:
     """Apply `work` (or what `setup` makes once per task) to slices of the named columns; no shuffle.
 
@@ -60,15 +61,19 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = setup() if setup else work
         for batch in batches:
-            for rows in slices(batch, text):
+            for rows in slices(batch, text, chars):
                 out = apply(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[field.name], type=field.type) for field in arrow], schema=arrow
+                    [_column(out[field.name], field.type) for field in arrow], schema=arrow
                 )
 
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def _column(values: Sequence | pa.Array, kind: pa.DataType) -> pa.Array:
+    return values if isinstance(values, pa.Array) else pa.array(values, type=kind)
+
+
 def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

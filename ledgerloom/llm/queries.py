@@ -7,14 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, langid, licenses, simhash, substrings, topk
+from ledgerloom.llm import decontaminate, langid, licenses, pages, pieces, pii, simhash, substrings, topk
 from ledgerloom.llm.common import table
 
 
+def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text", "n_found", "n_changed")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
@@ -27,6 +36,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("matches")
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -44,10 +57,13 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op3_language_id": op3_language_id,
+    "op4_html_extraction": op4_html_extraction,
     "op5_exact_topk": op5_exact_topk,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_license_scan": op7_license_scan,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
