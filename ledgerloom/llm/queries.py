@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, langid, licenses, pages, pieces, pii, simhash, substrings, topk
+from ledgerloom.llm import decontaminate, langid, licenses, pages, pieces, pii, simhash, substrings, topk, transcripts
 from ledgerloom.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "n_found", "n_changed")
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transcripts.format_turns(table(spark, sf_dir, "conversations"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
+    "op2_chat_format": op2_chat_format,
     "op3_language_id": op3_language_id,
     "op4_html_extraction": op4_html_extraction,
     "op5_exact_topk": op5_exact_topk,
