@@ -13,12 +13,9 @@ from pyspark.sql import functions as F
 BATCH_CHARS = 2_000_000
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` written to the cluster's shared checkpoint folder and read from there.
-
-    The folder is the session's `spark.checkpoint.dir`. Only a local master may go without one.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder: the session's `spark.checkpoint.dir`. Only a local master may go without one."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if not folder:
@@ -26,6 +23,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="checkpoints-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """`df` written to the cluster's shared folder and read from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

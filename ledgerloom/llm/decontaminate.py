@@ -12,12 +12,12 @@ the hit intervals of a document are merged by its row.
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,8 +89,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes
     Null and empty texts have no words and are clean; an empty benchmark hits nothing; an item
     without id or words takes no part; documents that repeat a doc_id are judged row by row.
     """
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
-    parts = 1 + (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // part_bytes
+    items = _items(benchmark)
+    parts = _parts(items, part_bytes)
     if parts == 1:
         return _scan_part(docs, items, window, ["doc_id"])
     # Beyond the bound: one scan per part; a row number per document ties its parts together.
@@ -122,6 +122,14 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes
     return counted.select("doc_id", "n_words", "n_hit", "item_ids", "spans", "words", bad.alias("contaminated"))
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
+
+
+def _parts(items: DataFrame, part_bytes: int) -> int:
+    return 1 + (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // part_bytes
+
+
 def _scan_part(docs: DataFrame, items: DataFrame, window: int, keys: list[str]) -> DataFrame:
     patterns = [(r.item_id, r.text) for r in items.toLocalIterator()]
 
@@ -151,5 +159,29 @@ def _scan_part(docs: DataFrame, items: DataFrame, window: int, keys: list[str])
     return map_texts(docs, [*keys, "text"], "text", schema, work=dict, setup=setup)
 
 
-def digest(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(ids).encode()).hexdigest()
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
+    """`docs` without the contaminated rows, each judged by its own text; nulls and empty texts stay.
+
+    With a benchmark within the bound this is one pass without a shuffle; beyond it, rows are numbered
+    and judged through `hits`.
+    """
+    items = _items(benchmark)
+    if _parts(items, part_bytes) > 1:
+        numbered = checkpointed(docs.withColumn("__row", F.monotonically_increasing_id()))
+        judged = hits(numbered.select(F.col("__row").alias("doc_id"), "text"), benchmark, window, part_bytes)
+        bad = judged.where("contaminated").select(F.col("doc_id").alias("__row"))
+        return numbered.join(bad, "__row", "left_anti").drop("__row")
+    patterns = [(r.item_id, r.text) for r in items.toLocalIterator()]
+
+    @F.pandas_udf("boolean")
+    def contaminated(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        machine = automaton(patterns, window)
+        for part in parts:
+            found = []
+            for text in part:
+                n, spans, _ = scan(machine, text)
+                hit = sum(b - a for a, b in spans)
+                found.append(hit > 0 and RATIO * hit >= n)
+            yield pd.Series(found, dtype=bool)
+
+    return docs.where(~contaminated("text"))

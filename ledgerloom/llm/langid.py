@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -272,3 +273,25 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     marked = docs.select("doc_id", F.coalesce(fold() == 2, F.lit(False)).alias("held_out"), "text")
     schema = "doc_id long, held_out boolean, lang_pred string, score double"
     return map_texts(marked, ["doc_id", "held_out", "text"], "text", schema, work=dict, setup=setup)
+
+
+def recognised(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """`docs` without the documents whose text has no recognisable language; no shuffle.
+
+    Where a model can be trained, a text is rejected if its prediction is `und` (null, or no letter).
+    Rows are judged by their own text, also where a doc_id repeats or is null.
+    """
+    model = model or train(docs.where(fold() != 2))
+
+    @F.pandas_udf("string")
+    def predicted(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        dense, is_letter = model.dense(), letters()
+        for part in parts:
+            names: list[str] = []
+            for rows in slices(pa.RecordBatch.from_pydict({"text": pa.array(part, pa.string())}), "text"):
+                names += predict(model, dense, is_letter, rows["text"])[0]
+            yield pd.Series(names, dtype=object)
+
+    if not model.labels:
+        return docs
+    return docs.where(predicted("text") != UNKNOWN)

@@ -52,14 +52,15 @@ def simhash(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(2 * votes > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long; no shuffle."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """`columns` (long) and fp, the fingerprint as a signed long; no shuffle."""
 
     def work(rows: dict[str, list]) -> dict[str, list]:
         values = np.array([simhash(t, shingle) for t in rows["text"]], np.uint64).view(np.int64)
-        return {"doc_id": rows["doc_id"], "fp": values}
+        return {c: rows[c] for c in columns} | {"fp": values}
 
-    return map_texts(docs, ["doc_id", "text"], "text", "doc_id long, fp long", work)
+    schema = "".join(f"{c} long, " for c in columns) + "fp long"
+    return map_texts(docs, [*columns, "text"], "text", schema, work)
 
 
 def band_masks(bits: list[int], bands: int = 5, keep: int = 3) -> list[int]:
@@ -201,6 +202,13 @@ def link(distinct: DataFrame, radius: int = RADIUS, split: int = SPLIT) -> DataF
     return buckets.select("fps").mapInArrow(compare, "u long, v long")
 
 
+def classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, root) of every distinct fingerprint `fp`: the same root for those linked over any number of steps."""
+    distinct = checkpointed(prints.select("fp").distinct())
+    roots = components(link(distinct, radius))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest reachable doc_id).
 
@@ -208,22 +216,23 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     part but is a component_id only where no other id is reachable.
     """
     prints = checkpointed(fingerprints(docs, shingle))
-    distinct = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(link(distinct, radius))
-    placed = checkpointed(
-        distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    )
+    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    placed = checkpointed(classes(prints, radius).join(first, "fp"))
     ids = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = placed.join(ids, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    found = placed.join(ids, "root").select("fp", "component_id")
+    return prints.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """`docs` with one document of each near-duplicate group: the one of smallest doc_id.
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """`docs` with one row of each near-duplicate group: that of smallest doc_id (nulls last), then of smallest row hash.
 
-    Rows that repeat this doc_id are reduced to one; documents without doc_id stay.
+    Rows that repeat both doc_id and text are one row afterwards. Null and empty texts have fingerprint
+    0 and form a group like any other.
     """
-    groups = near_duplicates(docs, radius=radius)
-    dropped = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    prints = checkpointed(fingerprints(keyed, shingle, ("doc_id", "__key")))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__key")
+    first = prints.groupBy("fp").agg(F.min(order).alias("best"))
+    best = classes(prints, radius).join(first, "fp").groupBy("root").agg(F.min("best").alias("best"))
+    keys = checkpointed(best.select(F.col("best")["__key"].alias("__key")))
+    return keyed.join(keys, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
