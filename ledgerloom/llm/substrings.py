@@ -52,10 +52,6 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def _powers(n: int) -> np.ndarray:
-    return np.array([pow(BASE, i, 1 << 64) for i in range(n + 1)], np.uint64)
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
@@ -70,28 +66,36 @@ def _runs_hash(words: np.ndarray, width: int) -> np.ndarray:
     return _mixed(acc)
 
 
-def segments(words: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(minimiser hash, first window, number of windows) of each segment of one text's word hashes."""
+def segments(words: np.ndarray, sizes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """Segments of texts whose word hashes stand one after the other, `sizes` words each.
+
+    (minimiser hash, hash of the segment's words, text number, first window in the text, number of windows).
+    """
     if len(words) < window:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+    begin = np.cumsum(sizes) - sizes
+    text = np.repeat(np.arange(len(sizes)), sizes)
     grams = _runs_hash(words, gram)
-    place = np.arange(len(grams), dtype=np.uint64)
-    lowest = _sliding_min((grams & ~LOW32) | place, window - gram + 1)
+    lowest = _sliding_min((grams & ~LOW32) | np.arange(len(grams), dtype=np.uint64), window - gram + 1)
     at = (lowest & LOW32).astype(np.int64)
-    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    return grams[at[first]], first, np.diff(np.append(first, len(at)))
-
-
-def segment_hashes(words: np.ndarray, first: np.ndarray, n: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """A 64-bit hash of each segment's words."""
-    out = np.zeros(len(first), np.uint64)
-    size = n + window - 1
-    acc = np.zeros(len(first), np.uint64)
-    for i in range(int(size.max(initial=0))):
-        on = i < size
-        acc[on] = acc[on] * np.uint64(BASE) + words[first[on] + i] + np.uint64(1)
-    out[:] = _mixed(acc)
-    return out
+    # A window that runs into the next text is none.
+    inside = text[: len(at)] == text[window - 1 :]
+    at[~inside] = -1
+    edges = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (text[1 : len(at)] != text[: len(at) - 1])))
+    n = np.diff(np.append(edges, len(at)))
+    real = at[edges] >= 0
+    first, n = edges[real], n[real]
+    # Sums of word * B^place, shifted back to place 0 by the inverse of B modulo 2^64.
+    base = np.full(len(words), BASE, np.uint64)
+    base[0] = 1
+    power = np.multiply.accumulate(base)
+    back = np.full(len(words), pow(BASE, -1, 1 << 64), np.uint64)
+    back[0] = 1
+    shift = np.multiply.accumulate(back)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((words + np.uint64(1)) * power)])
+    whole = (sums[first + n + window - 1] - sums[first]) * shift[first] + (n.astype(np.uint64) << np.uint64(48))
+    owner = text[first]
+    return grams[at[first]], _mixed(whole), owner, first - begin[owner], n
 
 
 class FMIndex:
@@ -126,6 +130,11 @@ class FMIndex:
             counts = np.concatenate([[0], np.cumsum(np.bitwise_count(packed))[:-1]]).astype(np.int32)
             self.levels.append((packed, counts, int(len(ones) - ones.sum())))
             current = np.concatenate([current[~ones], current[ones]])
+        # A symbol's occurrences stand together behind the last level; from there to its suffixes is one shift.
+        symbols = np.arange(len(self.alphabet) + 1)
+        self.shift = np.zeros(len(symbols), np.int64)
+        bottom = self.step(symbols, np.zeros((2, len(symbols)), np.int64))[0]
+        self.shift = self.first[:-1] - bottom
 
     def _suffixes(self, depth: int) -> np.ndarray:
         n, rank, span = len(self.text), self.text.copy(), 1
@@ -143,22 +152,15 @@ class FMIndex:
                 break
         return order
 
-    def rank(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """How often `symbol` occurs in the transform before `place`."""
-        start = np.zeros_like(place)
+    def step(self, symbol: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Backward step: where suffixes that put `symbol` before those up to each place begin; places are (2, lanes)."""
         top = len(self.levels) - 1
         for k, (packed, counts, zeros) in enumerate(self.levels):
-            one = (symbol >> (top - k) & 1).astype(bool)
-            for_place, for_start = self._ones(packed, counts, place), self._ones(packed, counts, start)
-            place = np.where(one, zeros + for_place, place - for_place)
-            start = np.where(one, zeros + for_start, start - for_start)
-        return place - start
-
-    @staticmethod
-    def _ones(packed: np.ndarray, counts: np.ndarray, place: np.ndarray) -> np.ndarray:
-        word = place >> 6
-        mask = (np.uint64(1) << (place & 63).astype(np.uint64)) - np.uint64(1)
-        return counts[word] + np.bitwise_count(packed[word] & mask)
+            word = places >> 6
+            below = packed[word] & ((np.uint64(1) << (places & 63).view(np.uint64)) - np.uint64(1))
+            ones = counts[word] + np.bitwise_count(below)
+            places = np.where((symbol >> (top - k) & 1).astype(bool), zeros + ones, places - ones)
+        return places + self.shift[symbol]
 
     def repeated(self, ends: np.ndarray, length: int) -> np.ndarray:
         """Whether the `length` symbols before each text place `ends` have a weight of two or more.
@@ -171,8 +173,7 @@ class FMIndex:
         for _ in range(length):
             at = at - 1
             symbol = self.text[at]
-            both = self.rank(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
-            low, high = self.first[symbol] + both[: len(at)], self.first[symbol] + both[len(at) :]
+            low, high = self.step(symbol, np.stack([low, high]))
             alive = self.weight[high] - self.weight[low] >= 2
             if not alive.all():
                 lane, low, high, at = lane[alive], low[alive], high[alive], at[alive]
@@ -190,20 +191,12 @@ def keyed(docs: DataFrame) -> DataFrame:
 def occurrences(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(minimiser, segment, key, first, n) of all segments of `keyed` documents; no shuffle."""
 
-    def work(rows: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {k: [] for k in ("minimiser", "segment", "key", "first", "n")}
-        for key, text in zip(rows["key"], rows["text"], strict=True):
-            words = words_of(text)
-            if len(words) < window:
-                continue
-            codes = hashes(words)
-            minimiser, first, n = segments(codes, window)
-            out["minimiser"].append(minimiser.view(np.int64))
-            out["segment"].append(segment_hashes(codes, first, n, window).view(np.int64))
-            out["key"].append(np.full(len(first), key, np.int64))
-            out["first"].append(first)
-            out["n"].append(n)
-        return {k: np.concatenate(v) if v else np.zeros(0, np.int64) for k, v in out.items()}
+    def work(rows: dict[str, list]) -> dict[str, np.ndarray]:
+        texts = [words_of(t) for t in rows["text"]]
+        codes = hashes([w for words in texts for w in words])
+        minimiser, segment, owner, first, n = segments(codes, np.array([len(w) for w in texts], np.int64), window)
+        key = np.array(rows["key"], np.int64)[owner]
+        return {"minimiser": minimiser.view(np.int64), "segment": segment.view(np.int64), "key": key, "first": first, "n": n}
 
     return map_texts(docs.where("text is not null"), ["key", "text"], "text", "minimiser long, segment long, key long, first int, n int", work)
 
@@ -261,7 +254,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, hot: int = HOT, shar
     """(key, first, mask) for `keyed` documents: bit k of mask is set if window first + k starts elsewhere too."""
     every = occurrences(docs, window)
     shared = every.groupBy("minimiser").agg(F.count("*").alias("total")).where("total > 1").select("minimiser")
-    open_rows = checkpointed(every.join(shared, "minimiser"))
+    # Cut off from its aggregate, the join may split a minimiser that very many segments have.
+    open_rows = checkpointed(every.join(checkpointed(shared), "minimiser"))
     distinct = open_rows.groupBy("minimiser", "segment").agg(F.count("*").alias("weight"), F.min(F.struct("key", "first", "n")).alias("place"))
     distinct = checkpointed(distinct.select("minimiser", "segment", "weight", "place.key", "place.first", "place.n"))
     many = distinct.groupBy("minimiser").agg(F.count("*").alias("parts")).where(F.col("parts") > hot).select("minimiser", F.lit(True).alias("hot"))
