@@ -88,7 +88,7 @@ VIEWS: dict[str, str] = {
                min(l_discount) = 0 as free_shipping, 'USD' as currency,
                cast(null as string) as notes, min(l_shipdate) as created_at,
                max(l_shipdate) as updated_at
-        from {{lineitem}} where l_linenumber <= 2 group by l_orderkey, l_linenumber
+        from {{lineitem}} group by l_orderkey, l_linenumber
         union all
         select {SECOND} + c_custkey, c_custkey, 'Pg::ProposalBase',
                cast(c_nationkey as decimal(9,4)), c_nationkey = 0, 'USD', c_mktsegment,

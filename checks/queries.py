@@ -40,6 +40,8 @@ def work_folder(spark: SparkSession) -> str:
     """A new folder for written outputs, in the shared folder of the cluster when it names one."""
     shared = spark.conf.get("spark.checkpoint.dir", "")
     if not shared:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         return tempfile.mkdtemp(prefix="ledgerloom-")
     unique = spark.sql("select uuid() as u").first()["u"]
     return f"{shared.rstrip('/')}/ledgerloom-{unique}"

@@ -52,7 +52,7 @@ def checklist_score(items: Column, weights: Mapping[str, int]) -> Column:
     text = joined(items)
     score = F.lit(0)
     for weight, names in by_weight.items():
-        pattern = r"(?:^|,)[\s\p{Z}]*(?:" + "|".join(names) + r")(?=,|$)"
+        pattern = r"(?:^|,)[\s\p{Z}]*(?:" + "|".join(names) + r")(?=,|\z)"
         score = score + F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0)) * F.lit(weight)
     return score.cast("int")
 

@@ -125,7 +125,8 @@ def lookups(
 
     Small children are broadcast onto the parent. For the others only the parent's key and foreign
     keys, read from `key_source`, go through the salted joins; what was found is attached by the key.
-    So the wide rows are moved once, by their own key, however many large lookups there are.
+    So the wide rows are moved once, by their own key, however many large lookups there are. Both ways
+    give one row per parent row, also where keys repeat.
     """
     large = []
     for item in wanted:
@@ -136,11 +137,19 @@ def lookups(
     if not large:
         return parent
     foreign = list(dict.fromkeys(k for item in large for k in item.on))
-    found = key_source.select(key, *foreign)
+    # One row per key and foreign keys: a repeated key must find what each of its rows points at, once.
+    found = key_source.select(key, *foreign).distinct()
     for item in large:
         found = lookup(found, item.child, item.on, "left", (key,), policy, key_source)
-    found = found.drop(*foreign).withColumnRenamed(key, "_found_for")
-    return attach(parent, found, key, "_found_for")
+    named = {key: "_found_for", **{k: f"_found_{k}" for k in foreign}}
+    found = found.withColumnsRenamed(named)
+    # The key alone deals out the rows; the foreign keys are compared as a residual, nulls as equal.
+    match = [F.col(key) == F.col("_found_for")]
+    for k in foreign:
+        mine, theirs = F.col(k), F.col(named[k])
+        # Written with bounds, so that Catalyst does not deal out the rows by it.
+        match.append(mine.isNull() & theirs.isNull() | ((mine >= theirs) & (mine <= theirs)))
+    return parent.join(found, reduce(lambda a, b: a & b, match), "left").drop(*named.values())
 
 
 def hot_keys(source: DataFrame, keys: Sequence[str], at_least: int) -> DataFrame:

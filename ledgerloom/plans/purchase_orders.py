@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import money, purchasing
@@ -179,10 +179,17 @@ def purchase_order_report(
     return enforce(rows, rules, columns, contract, label="purchase order")
 
 
-# Retail totals are exact decimals. Prices and rates carry up to 8 decimals; a larger value than the
-# type holds raises, it is never cut.
-PRICE = "decimal(22,8)"
-RATE = "decimal(14,8)"
+# Retail totals are exact decimals: prices of up to 12 and percentages of up to 9 decimals, products and
+# sums of 21. A value with more decimals, or a sum that does not fit, raises; none is rounded.
+PRICE = "decimal(24,12)"
+PERCENT = "decimal(13,9)"
+TOTAL = "decimal(36,21)"
+
+
+def _exact(value: Column, kind: str) -> Column:
+    """The value as a decimal of that kind; raises where this would change it."""
+    cut = F.raise_error(F.concat(F.lit(f"not a {kind}: "), value.cast("string"))).cast(kind)
+    return F.when(value.isNull() | (value.cast(kind) == value), value.cast(kind)).otherwise(cut)
 
 
 def retail_totals(
@@ -196,7 +203,7 @@ def retail_totals(
     An order without milestones has zero sums. A missing shipping row counts as no cost and a
     missing or null rate as 1.
     """
-    price, percent = F.col("total_price").cast(PRICE), F.col("tax_rate").cast(RATE)
+    price, percent = _exact(F.col("total_price"), PRICE), _exact(F.col("tax_rate"), PERCENT)
     sums = (
         _owned(milestones, "itemizable_type", ORDER_OWNERS)
         .where(F.col("itemizable_id").isNotNull())
@@ -217,15 +224,17 @@ def retail_totals(
     rows = attach(purchase_orders.select("id"), sums, "id", "_milestone_po")
     rows = attach(rows, sides, "id", "_po")
     zero = F.lit(0)
-    subtotal = F.coalesce(F.col("_price"), zero)
-    tax = F.coalesce(F.col("_price_percent") / F.lit(100).cast("decimal(3,0)"), zero)
-    cost = F.coalesce(F.col("shipping_cost").cast(PRICE), zero)
+    subtotal = F.coalesce(F.col("_price"), zero).cast(TOTAL)
+    # A percentage moves the point by two places: 19 decimals become 21.
+    tax = _exact(F.coalesce(F.col("_price_percent"), zero), "decimal(33,19)")
+    tax = (tax * F.lit("0.01").cast("decimal(2,2)")).cast(TOTAL)
+    cost = _exact(F.coalesce(F.col("shipping_cost"), zero), PRICE).cast(TOTAL)
     rows = rows.select(
         "id",
-        subtotal.cast("decimal(30,8)").alias("retail_subtotal_price"),
-        tax.cast("decimal(34,12)").alias("retail_tax_amount"),
-        (subtotal + tax + cost).cast("decimal(34,12)").alias("retail_total_price"),
-        F.coalesce(F.col("currency_conversion_rate"), F.lit(1)).cast(RATE).alias("_rate"),
+        subtotal.alias("retail_subtotal_price"),
+        tax.alias("retail_tax_amount"),
+        (subtotal + tax + cost).alias("retail_total_price"),
+        F.coalesce(F.col("currency_conversion_rate"), F.lit(1)).cast("double").alias("_rate"),
     )
     total = F.col("retail_total_price")
     return rows.select(
@@ -233,5 +242,5 @@ def retail_totals(
         "retail_subtotal_price",
         "retail_tax_amount",
         "retail_total_price",
-        (total / F.col("_rate")).cast("double").alias("retail_total_price_usd"),
+        money.ieee_div(total.cast("double"), F.col("_rate")).alias("retail_total_price_usd"),
     )

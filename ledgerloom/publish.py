@@ -10,26 +10,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .plans.catalogue import OUTPUTS, WINDOWED, build
+from .sinks.catalog import register
 from .sinks.parquet import dataset_path, refresh_partitions, write_snapshot
 from .sources.tables import read_table
 
 
-def publish(spark: SparkSession, name: str, base: str, out: str) -> DataFrame:
-    """Refresh one full output; returns its manifest row."""
-    written = write_snapshot(build(spark, name, base), dataset_path(out, name))
+def publish(
+    spark: SparkSession, name: str, base: str, out: str, database: str | None = None
+) -> DataFrame:
+    """Refresh one full output; returns its manifest row. With a `database` it is registered there."""
+    frame, path = build(spark, name, base), dataset_path(out, name)
+    written = write_snapshot(frame, path)
+    if database is not None:
+        register(spark, f"{database}.{name}", path, frame.schema)
     return written.select(F.lit(name).alias("name"), "*")
 
 
-def publish_windows(spark: SparkSession, name: str, base: str, out: str, today: date) -> DataFrame:
-    """Refresh the windows of a partitioned output for a day; returns one manifest row per window."""
+def publish_windows(
+    spark: SparkSession, name: str, base: str, out: str, today: date, database: str | None = None
+) -> DataFrame:
+    """Refresh the windows of a partitioned output for a day; returns one manifest row per window.
+
+    With a `database` the output is registered there, new partitions included.
+    """
     spec = WINDOWED[name]
     rows, windows = spec.plan(spark, read_table(spark, base, spec.table), today)
-    written = refresh_partitions(rows, dataset_path(out, name), spec.partition_by, windows)
+    path = dataset_path(out, name)
+    written = refresh_partitions(rows, path, spec.partition_by, windows)
+    if database is not None:
+        register(spark, f"{database}.{name}", path, rows.schema, spec.partition_by)
     return written.select(F.lit(name).alias("name"), "*")
 
 
 def publish_all(
-    spark: SparkSession, base: str, out: str, names: Iterable[str] = tuple(OUTPUTS)
+    spark: SparkSession,
+    base: str,
+    out: str,
+    names: Iterable[str] = tuple(OUTPUTS),
+    database: str | None = None,
 ) -> tuple[DataFrame, dict[str, str]]:
     """Refresh several outputs; one that fails does not stop the others.
 
@@ -38,7 +56,7 @@ def publish_all(
     written, errors = [], {}
     for name in names:
         try:
-            written.append(publish(spark, name, base, out))
+            written.append(publish(spark, name, base, out, database))
         except Exception as error:  # a broken contract or a missing source, kept for the caller
             errors[name] = str(error)
     if not written:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
@@ -13,11 +14,14 @@ def register(
 ) -> None:
     """Register or refresh an external table over a data set.
 
-    A table already registered with other columns is registered anew; its data are not touched.
+    A table already registered with other columns, partitioning or location is registered anew, so
+    readers see the data set named last; no data are touched.
     """
     if spark.catalog.tableExists(table):
         known = {(f.name, f.dataType) for f in spark.table(table).schema.fields}
-        if known != {(f.name, f.dataType) for f in schema.fields}:
+        parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+        same = known == {(f.name, f.dataType) for f in schema.fields} and parts == list(partition_by)
+        if not same or _plain(_location(spark, table)) != _plain(path):
             spark.sql(f"DROP TABLE {table}")
     if not spark.catalog.tableExists(table):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -26,3 +30,14 @@ def register(
     if partition_by:
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     spark.catalog.refreshTable(table)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    """Where the data of a registered table lie."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
+def _plain(path: str) -> str:
+    """A path without the local scheme and trailing slashes."""
+    return re.sub(r"^file:/*", "/", path).rstrip("/")

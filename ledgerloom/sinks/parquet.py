@@ -76,8 +76,8 @@ def refresh_partitions(
 ) -> DataFrame:
     """Replace the listed partitions of a data set and return one manifest row per partition.
 
-    `windows` lists the partition values to rebuild, a few rows by construction, and the frame holds
-    rows of those windows only. All of them are written by one job with dynamic overwrite, so other
+    `windows` lists the partition values to rebuild, a few rows by construction. A row of any other
+    partition fails the job before anything is committed. All of them are written by one job with dynamic overwrite, so other
     partitions stay. Rows are rebalanced by partition value before the write: AQE splits a large
     partition over several tasks and merges small ones. The same job notes which windows had no
     rows; those are written as an empty file, so that a stale partition is replaced as well.
@@ -85,7 +85,11 @@ def refresh_partitions(
     spark = frame.sparkSession
     windows = [{c: str(w[c]) for c in partition_by} for w in windows]
     seen = Observation()
-    observed = frame.observe(
+    listed_row = reduce(lambda a, b: a | b, map(_in_window, windows), F.lit(False))
+    place = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in partition_by])
+    stray = F.raise_error(F.concat(F.lit("row outside the listed partitions: "), place))
+    guarded = frame.where(F.when(listed_row, F.lit(True)).otherwise(stray.cast("boolean")))
+    observed = guarded.observe(
         seen,
         *[F.count_if(_in_window(w)).alias(f"w{i}") for i, w in enumerate(windows)],
     )

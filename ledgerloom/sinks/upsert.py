@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..plans.boost import boosted
 from ..plans.clicks import click_rows, unseen_clicks, unseen_clicks_by_bucket
 from ..schemas import table_schema
-from ..sources.objects import click_object_years, read_click_lines
+from ..sources.objects import read_click_lines
 from .parquet import COMPRESSION
 
 
@@ -84,9 +84,8 @@ def insert_new_clicks_into(
 
 
 def ingest_recent_clicks(spark: SparkSession, base: str, today: date, path: str) -> None:
-    """Insert the clicks of the last day folders; the years come from the file listing."""
-    years = [r["year"] for r in click_object_years(spark, base, today).collect()]
-    insert_new_clicks(click_rows(read_click_lines(spark, base, today)), path, years)
+    """Insert the clicks of the last day folders; the years compared are those of the rows read."""
+    insert_new_clicks(click_rows(read_click_lines(spark, base, today)), path)
 
 
 def write_boosted(wpcs: DataFrame, scores: DataFrame, base: str, version: str) -> str:

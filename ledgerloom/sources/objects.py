@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 LINE_SCHEMA = "value STRING, file_name STRING, last_modified_date TIMESTAMP_NTZ"
 DAYS = 5
+# Scheme and host of a path.
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
 def day_folders(today: date, days: int = DAYS) -> list[str]:
@@ -19,9 +22,17 @@ def day_folders(today: date, days: int = DAYS) -> list[str]:
 
 def _object_key(base: str):
     """Path of a file below the base, from the file metadata of a scan."""
-    path = F.col("_metadata.file_path")
-    below = F.locate(base, path) + F.lit(len(base))
-    return path.substr(below, F.length(path))
+    # File paths are URIs: decoded once, and compared without scheme and host.
+    uri = F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")
+    path = F.regexp_replace(F.url_decode(uri), SCHEME, "")
+    root = re.sub(r"/{2,}", "/", re.sub(SCHEME, "", base))
+    if not root.startswith("/"):
+        below = F.locate("/" + root, path)
+        root = "/" + root
+    else:
+        below = F.when(path.startswith(root), F.lit(1)).otherwise(F.lit(0))
+    outside = F.raise_error(F.concat(path, F.lit(f" is not below {root}")))
+    return F.when(below > 0, path.substr(below + F.lit(len(root)), F.length(path))).otherwise(outside)
 
 
 def _utc(column: str):

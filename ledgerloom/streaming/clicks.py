@@ -6,25 +6,42 @@ stops. Rows are inserted by key inside foreachBatch, which makes a repeated batc
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.clicks import KEY, click_rows
 from ..sinks.upsert import insert_new_clicks
-from ..sources.objects import line_columns
+from ..sources.objects import DAYS, day_folders, line_columns
 
 LATENESS = "5 days"
+# Spark leaves out files older than 7 days by default.
+MAX_AGE = "36500d"
 
 
 def stream_click_lines(
-    spark: SparkSession, base: str, name_part: str = "clicks", files_per_batch: int = 10_000
+    spark: SparkSession,
+    base: str,
+    name_part: str = "clicks",
+    files_per_batch: int = 10_000,
+    today: date | None = None,
+    days: int = DAYS,
+    max_age: str = MAX_AGE,
 ) -> DataFrame:
-    """Click lines of all objects below a base, as they appear."""
+    """Click lines of the objects below a base, as they appear.
+
+    With `today` only its day folder and those of the days before are listed, otherwise the whole base.
+    `max_age` is how far behind the newest file's modification time a new file may lie and still be
+    read; the default is longer than any history, so an object that arrives late is never left out.
+    """
+    path = base if today is None else f"{base.rstrip('/')}/{{{','.join(day_folders(today, days))}}}*"
     lines = (
         spark.readStream.option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
-        .text(base)
+        .option("maxFileAge", max_age)
+        .text(path)
     )
     return lines.select(*line_columns(base)).where(F.col("file_name").contains(name_part))
 
@@ -58,7 +75,7 @@ def distinct_recent_clicks(clicks: DataFrame, lateness: str = LATENESS) -> DataF
 
 
 def ingest_click_folder(
-    spark: SparkSession, base: str, target: str, checkpoint: str
+    spark: SparkSession, base: str, target: str, checkpoint: str, today: date | None = None
 ) -> StreamingQuery:
-    """Ingest every click object below a base."""
-    return ingest_clicks(click_rows(stream_click_lines(spark, base)), target, checkpoint)
+    """Ingest every click object below a base, or those of the last day folders of `today`."""
+    return ingest_clicks(click_rows(stream_click_lines(spark, base, today=today)), target, checkpoint)
