@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from ledgerloom.plans.snapshots import SNAPSHOTS
 
-from .entities import duckdb_view
+from .entities import BASE_TABLES, duckdb_view
 
 _FIXED_TODAY, _FIXED_WEEKS_TODAY = "date '2024-01-20'", "date '2024-01-30'"
 
@@ -605,3 +605,14 @@ ORACLES["refresh_weeks"] = f"""with {_DAYS}
                ((day - 37) - (isodow(day - 37)::int - 1))::timestamp, day::timestamp,
                interval 7 day))::date as monday
     from days"""
+
+# Write-back by name, counts, listings and streams.
+ORACLES["booster_published"] = ORACLES["booster_writeback"]
+ORACLES["footer_row_counts"] = " union all ".join(
+    f"select '{t}' as table_name, count(*) as rows from {t}" for t in BASE_TABLES
+)
+ORACLES["listing_by_prefix"] = ORACLES["footer_row_counts"]
+ORACLES["stream_distinct_keys"] = _with(
+    ("session_clicks",), "select distinct id, year from e_session_clicks"
+)
+ORACLES["stream_clicks_flatten"] = ORACLES["clicks_flatten"]

@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerloom.functions import calendar
 from ledgerloom.operators.lookup import keep_related
@@ -16,18 +17,21 @@ from ledgerloom.operators.reduce import pick_rows
 from ledgerloom.plans import boost, clicks, events, invoices, orders, proposals, purchase_orders
 from ledgerloom.plans.ratings import rating_report
 from ledgerloom.plans.snapshots import SNAPSHOTS, address_lines, grouped_inventories, snapshot
+from ledgerloom.schemas import BOOST_SCORES
 from ledgerloom.sinks.catalog import register
-from ledgerloom.sinks.parquet import dataset_path, refresh_partitions, write_snapshot
+from ledgerloom.sinks.parquet import dataset_path, refresh_partitions, row_count, write_snapshot
 from ledgerloom.sinks.upsert import (
     create_click_table,
     insert_new_clicks,
     insert_new_clicks_into,
     stored_clicks,
+    write_boosted,
 )
 from ledgerloom.sources.objects import list_objects, read_click_lines
-from ledgerloom.streaming.clicks import ingest_clicks
+from ledgerloom.sources.scores import read_scores_csv
+from ledgerloom.streaming.clicks import distinct_recent_clicks, ingest_clicks
 
-from .entities import Entities
+from .entities import BASE_TABLES, Entities
 
 # The day the refresh windows are taken for: the events table covers January 2024.
 TODAY = date(2024, 1, 20)
@@ -385,8 +389,62 @@ def snapshot_registered(spark, folder):
     return spark.table("ledgerloom_wares")
 
 
+def booster_published(spark, folder):
+    """Scores exported to CSV and read back, written to a new version, registered and read by name."""
+    work = work_folder(spark)
+    wpcs, scores = Entities(spark, folder).frames("wpcs", "boost_scores")
+    columns = StructType.fromDDL(BOOST_SCORES).names
+    scores.select(columns).write.option("header", "true").csv(f"{work}/scores")
+    write_snapshot(wpcs, f"{work}/wpcs/version=v1")
+    spark.sql("DROP TABLE IF EXISTS ledgerloom_wpcs")
+    register(spark, "ledgerloom_wpcs", f"{work}/wpcs/version=v1", wpcs.schema)
+    read = read_scores_csv(spark, f"{work}/scores")
+    write_boosted(spark.table("ledgerloom_wpcs"), read, f"{work}/wpcs", "v2", table="ledgerloom_wpcs")
+    return spark.table("ledgerloom_wpcs")
+
+
+def footer_row_counts(spark, folder):
+    """Rows of every table, from the footers."""
+    rows = [(t, row_count(spark, f"{folder}/{t}.parquet")) for t in BASE_TABLES]
+    return spark.createDataFrame(rows, "table_name string, rows long")
+
+
+def stream_distinct_keys(spark, folder):
+    """Clicks of a stream of files, de-duplicated with bounded state."""
+    work = work_folder(spark)
+    Entities(spark, folder)["session_clicks"].write.parquet(f"{work}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{work}/in").schema).parquet(f"{work}/in")
+    kept = distinct_recent_clicks(stream, "3650 days").select("id", "year")
+    _run_to_end(kept, work)
+    return spark.read.schema("id string, year int").parquet(f"{work}/out")
+
+
+def stream_clicks_flatten(spark, folder):
+    """Clicks of a stream of files, flattened."""
+    work = work_folder(spark)
+    Entities(spark, folder)["clicks"].write.parquet(f"{work}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{work}/in").schema).parquet(f"{work}/in")
+    flat = clicks.flat_clicks(stream)
+    _run_to_end(flat, work)
+    return spark.read.schema(flat.schema).parquet(f"{work}/out")
+
+
+def _run_to_end(stream: DataFrame, work: str) -> None:
+    """Write what is available of a stream to the work folder's `out`."""
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{work}/state")
+    writer.trigger(availableNow=True).start(f"{work}/out").awaitTermination()
+
+
 def listing_by_prefix(spark, folder):
-    return list_objects(spark, folder, "*.parquet")
+    """Tables found by listing the folder, with the rows of their files."""
+    name = lambda path: F.regexp_extract(path, r"([a-z_]+)\.parquet", 1)
+    found = list_objects(spark, folder, "*.parquet").select(name(F.url_decode("path")).alias("table_name")).distinct()
+    counts = None
+    for t in BASE_TABLES:
+        one = spark.read.parquet(f"{folder}/{t}.parquet").select(F.lit(t).alias("table_name"))
+        counts = one if counts is None else counts.unionByName(one)
+    rows = counts.groupBy("table_name").agg(F.count("*").alias("rows"))
+    return found.join(rows, "table_name")
 
 
 QUERIES: dict[str, Query] = {
@@ -449,4 +507,8 @@ QUERIES: dict[str, Query] = {
     "week_partition_refresh": week_partition_refresh,
     "snapshot_registered": snapshot_registered,
     "listing_by_prefix": listing_by_prefix,
+    "booster_published": booster_published,
+    "footer_row_counts": footer_row_counts,
+    "stream_distinct_keys": stream_distinct_keys,
+    "stream_clicks_flatten": stream_clicks_flatten,
 }

@@ -13,6 +13,7 @@ from ..plans.boost import boosted
 from ..plans.clicks import click_rows, unseen_clicks, unseen_clicks_by_bucket
 from ..schemas import table_schema
 from ..sources.objects import read_click_lines
+from .catalog import register
 from .parquet import COMPRESSION
 
 
@@ -88,11 +89,17 @@ def ingest_recent_clicks(spark: SparkSession, base: str, today: date, path: str)
     insert_new_clicks(click_rows(read_click_lines(spark, base, today)), path)
 
 
-def write_boosted(wpcs: DataFrame, scores: DataFrame, base: str, version: str) -> str:
+def write_boosted(
+    wpcs: DataFrame, scores: DataFrame, base: str, version: str, table: str | None = None
+) -> str:
     """Write the updated configurations as a new version and return its path.
 
-    A table that is being read is never overwritten; the caller points readers at the new version.
+    A table that is being read is never overwritten. With a `table` the new version is registered
+    under that name once it is complete; without, the caller points readers at it.
     """
     path = f"{base.rstrip('/')}/version={version}"
-    boosted(wpcs, scores).write.mode("errorifexists").option("compression", COMPRESSION).parquet(path)
+    rows = boosted(wpcs, scores)
+    rows.write.mode("errorifexists").option("compression", COMPRESSION).parquet(path)
+    if table is not None:
+        register(wpcs.sparkSession, table, path, rows.schema)
     return path

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import table_schema
 
@@ -31,6 +32,31 @@ def jdbc_options(
     }
 
 
-def read_database_table(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
-    """A database table as a partitioned scan; filters and projections are evaluated at the source."""
-    return spark.read.format("jdbc").options(**options).load()
+# Names in the database that differ from the declared ones.
+SOURCE_NAMES = {"type": "type_", "orgaization_id": "organization_id"}
+
+
+def declared(frame: DataFrame, name: str) -> DataFrame:
+    """A frame with the database's own column names as the declared schema of table `name`.
+
+    Columns that are not declared are left out; a declared column that is missing is an error.
+    """
+    wanted = table_schema(name)
+    have = {c.lower(): c for c in frame.columns}
+    source = {new: old for old, new in SOURCE_NAMES.items()}
+    columns = []
+    for field in wanted:
+        found = have.get(field.name) or have.get(source.get(field.name, ""))
+        if found is None:
+            raise ValueError(f"table {name} has no column {field.name}")
+        columns.append(F.col(f"`{found}`").cast(field.dataType).alias(field.name))
+    return frame.select(*columns)
+
+
+def read_database_table(spark: SparkSession, options: Mapping[str, str], name: str | None = None) -> DataFrame:
+    """A database table as a partitioned scan; filters and projections are evaluated at the source.
+
+    With the `name` of a source table, its columns get the declared names and types.
+    """
+    frame = spark.read.format("jdbc").options(**options).load()
+    return frame if name is None else declared(frame, name)

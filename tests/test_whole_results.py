@@ -17,6 +17,8 @@ from ledgerloom.sinks.catalog import register
 from ledgerloom.sinks.parquet import refresh_partitions
 from ledgerloom.sinks.upsert import stored_clicks
 from ledgerloom.sources.objects import read_click_lines
+from ledgerloom.sources.tables import declared
+from ledgerloom.schemas import table_schema
 from ledgerloom.streaming.clicks import ingest_click_folder
 
 TODAY = date(2024, 1, 3)
@@ -104,3 +106,13 @@ def test_registering_another_location_is_seen(spark, tmp_path):
         register(spark, "pointed_at", path, spark.read.parquet(path).schema)
         assert spark.table("pointed_at").count() == rows
     spark.sql("DROP TABLE pointed_at")
+
+
+def test_database_names_become_declared_ones(spark):
+    taxes = table_schema("taxes")
+    names = ["TYPE" if f.name == "type_" else f.name for f in taxes]
+    frame = spark.createDataFrame([], ", ".join(f"`{n}` string" for n in names) + ", surplus int")
+    assert declared(frame, "taxes").schema.names == taxes.names
+    assert [f.dataType for f in declared(frame, "taxes").schema] == [f.dataType for f in taxes]
+    with pytest.raises(ValueError, match="has no column"):
+        declared(frame.drop("id"), "taxes")
