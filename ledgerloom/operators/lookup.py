@@ -11,7 +11,9 @@ hot. Above the threshold the lookup is salted:
   2 * (parent rows / hot_rows) rows are added in total;
 * rows without a key match nothing; each gets a salt of its own, so they spread evenly.
 
-The frame of hot keys is broadcast. It has at most (parent rows / hot_rows) narrow rows.
+The frame of hot keys is broadcast. It has at most (parent rows / hot_rows) narrow rows, and never more
+than MAX_HOT: of more hot keys the largest are salted. The others are joined as they are, which gives
+the same rows and leaves large partitions to AQE.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 MAX_SALT = (1 << 31) - 1
+MAX_HOT = 100_000
 
 
 @dataclass(frozen=True)
@@ -157,7 +160,8 @@ def hot_keys(source: DataFrame, keys: Sequence[str], at_least: int) -> DataFrame
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     counted = source.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     salts = F.ceil(F.col("_rows") / at_least).cast("int")
-    return counted.where(F.col("_rows") >= at_least).select(*keys, salts.alias("_salts"))
+    largest = counted.where(F.col("_rows") >= at_least).orderBy(F.desc("_rows"), *keys).limit(MAX_HOT)
+    return largest.select(*keys, salts.alias("_salts"))
 
 
 def _flag_hot(frame: DataFrame, hot: DataFrame, keys: Iterable[str]) -> DataFrame:

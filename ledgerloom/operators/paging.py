@@ -24,13 +24,15 @@ def page_at(frame: DataFrame, key: str, number: int, rows: int = PAGE_ROWS) -> D
 
 
 def pages(frame: DataFrame, key: str, rows: int = PAGE_ROWS) -> Iterator[DataFrame]:
-    """Pages in key order until an empty one. The key must be unique and not null."""
+    """Pages in key order until an empty one. The key must be unique and not null.
+
+    A page is evaluated once: its rows, no more than `rows`, are held and the next page starts behind them.
+    """
     last = None
     while True:
-        page = page_after(frame, key, last, rows)
-        edge = page.agg(F.max(key)).first()[0]
-        if edge is None:
+        held = page_after(frame, key, last, rows).collect()
+        if not held:
             return
-        yield page
-        last = edge
+        yield frame.sparkSession.createDataFrame(held, frame.schema)
+        last = held[-1][key]
 

@@ -9,7 +9,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.lookup import planned_bytes
 from .plans.catalogue import OUTPUTS, WINDOWED, build
+from .session import widen_shuffles
 from .sinks.catalog import register
 from .sinks.parquet import dataset_path, refresh_partitions, write_snapshot
 from .sources.tables import read_table
@@ -19,6 +21,7 @@ def publish(
     spark: SparkSession, name: str, base: str, out: str, database: str | None = None
 ) -> DataFrame:
     """Refresh one full output; returns its manifest row. With a `database` it is registered there."""
+    widen_shuffles(spark, sum(planned_bytes(read_table(spark, base, t)) for t in OUTPUTS[name].tables))
     frame, path = build(spark, name, base), dataset_path(out, name)
     written = write_snapshot(frame, path)
     if database is not None:
@@ -34,7 +37,9 @@ def publish_windows(
     With a `database` the output is registered there, new partitions included.
     """
     spec = WINDOWED[name]
-    rows, windows = spec.plan(spark, read_table(spark, base, spec.table), today)
+    source = read_table(spark, base, spec.table)
+    widen_shuffles(spark, planned_bytes(source))
+    rows, windows = spec.plan(spark, source, today)
     path = dataset_path(out, name)
     written = refresh_partitions(rows, path, spec.partition_by, windows)
     if database is not None:

@@ -36,6 +36,13 @@ def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSes
     return spark
 
 
+def widen_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Start shuffles at the advisory size for an input of so many bytes; never at fewer than set."""
+    wanted = -(-input_bytes // ADVISORY_BYTES)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
