@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,17 +34,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def slices(batch: pa.RecordBatch, text: str, chars: int = BATCH_CHARS) -> Iterator[dict[str, list]]:
-    """The rows of a batch as column lists, cut so that the texts of a slice hold about `chars` characters."""
-    columns = {name: batch.column(name).to_pylist() for name in batch.schema.names}
+    """The rows of a batch as column lists, cut so that the texts (or lists) of a slice hold about `chars` items.
+
+    Only a slice at a time becomes Python objects; a single longer text is a slice of its own.
+    """
+    column = batch.column(text)
+    length = pc.list_value_length(column) if pa.types.is_list(column.type) else pc.binary_length(column)
+    sizes = pc.fill_null(length, 0).to_pylist()
     start = held = 0
-    for i, value in enumerate(columns[text]):
-        size = len(value) if value is not None else 0
-        if held and held + size > chars:
-            yield {name: values[start:i] for name, values in columns.items()}
-            start, held = i, 0
-        held += size
-    if start < batch.num_rows:
-        yield {name: values[start:] for name, values in columns.items()}
+    for end in range(1, batch.num_rows + 1):
+        held += sizes[end - 1]
+        if end == batch.num_rows or held + sizes[end] > chars:
+            part = batch.slice(start, end - start)
+            yield {name: part.column(name).to_pylist() for name in batch.schema.names}
+            start, held = end, 0
 
 
 def map_texts(
