@@ -20,6 +20,18 @@ SECOND, THIRD = 10_000_000_000_000, 20_000_000_000_000
 _PO_OWNER = """case when {key} % 2 = 0 then 'Pg::PurchaseOrderBase'
     else 'Pg::PurchaseOrderBaseInit' end"""
 
+# Members of a click that hold a number or a text of the event: name, and what is added to or cut from its id.
+CLICK_INTS = (
+    "SiteId", "ZoneId", "BrandId", "AdTypeId", "RateType", "ChannelId", "NetworkId", "CampaignId",
+    "ClickCount", "CreativeId", "PriorityId", "DecisionIdx", "ServedByPid", "CreativePassId",
+    "FirstChannelId",
+)
+CLICK_TEXTS = ("Location", "DecisionId", "ServedByAsg", "ImpressionId", "PlacementName", "Url")
+_MORE = "".join(
+    [f",\"{m}\":' || cast(event_id % {7 + i} as string) || '" for i, m in enumerate(CLICK_INTS)]
+    + [f",\"{m}\":\"{m} ' || cast(event_id % {50 + i} as string) || '\"" for i, m in enumerate(CLICK_TEXTS)]
+) + ","
+
 VIEWS: dict[str, str] = {
     "purchase_orders": """
         select o_orderkey as id,
@@ -322,7 +334,12 @@ VIEWS: dict[str, str] = {
         select '"' || cast(event_id as string) || '"' as id,
                '{{"Id":"' || cast(event_id as string) || '","Meta:schema":"click","BurnIn":'
                || case when event_type = 'view' then 'true' else 'false' end
-               || ',"Device":null,"PassId":' || cast(user_id as string)
+               || ',"Device":' || case when event_type = 'view' then 'null'
+                                       else '"phone ' || cast(event_id % 4 as string) || '"' end
+               || ',"PassId":' || cast(user_id as string) || '@MORE@'
+               || '"IsNoTrack":"' || case event_id % 3 when 0 then 'on' when 1 then 'off' else 'true' end
+               || '","DataCenter":' || case when event_id % 2 = 0 then '"OFF"' else 'false' end
+               || ',"ImpressionCreatedOn":' || cast(1600000000000 + event_id * 7007 as string)
                || ',"CreatedOn":"/Date(' || cast(1700000000000 + event_id * 1001 as string)
                || ')/","EventCreatedOn":' || cast(1700000000000 + event_id * 1001 as string)
                || ',"Keywords":"' || event_type || '","TimeZoneId":"UTC","Price":"0.5","User":'
@@ -330,7 +347,7 @@ VIEWS: dict[str, str] = {
                || cast(user_id % 3 as string) || '}}}}' as data,
                event_type || '.gz' as file_name, ts as last_modified_date,
                cast(extract(year from ts) as int) as year
-        from {events}""",
+        from {events}""".replace("@MORE@", _MORE),
     "session_clicks": """
         select '"' || cast(user_id as string) || '"' as id,
                '{{"Id":"' || cast(user_id as string) || '","n":' || cast(event_id as string)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from ledgerloom.plans.snapshots import SNAPSHOTS
 
-from .entities import BASE_TABLES, duckdb_view
+from .entities import BASE_TABLES, CLICK_INTS, CLICK_TEXTS, duckdb_view
 
 _FIXED_TODAY, _FIXED_WEEKS_TODAY = "date '2024-01-20'", "date '2024-01-30'"
 
@@ -456,12 +456,10 @@ ORACLES["week_partition_refresh"] = _with(
 )
 
 # Clicks.
-_NULL_TEXT = ("location", "decisionid", "servedbyasg", "impressionid", "placementname", "url")
-_NULL_INTS = (
-    "siteid", "zoneid", "brandid", "adtypeid", "ratetype", "channelid", "networkid", "campaignid",
-    "clickcount", "creativeid", "priorityid", "decisionidx", "servedbypid", "creativepassid",
-    "firstchannelid",
-)
+_FLAG = (
+    "case lower(json_extract_string(data, '$.{0}')) when 'on' then true when 'off' then false"
+    " else json_extract_string(data, '$.{0}')::boolean end"
+)
 ORACLES["clicks_flatten"] = _with(
     ("clicks",),
     "select "
@@ -475,17 +473,17 @@ ORACLES["clicks_flatten"] = _with(
             "make_timestamp(regexp_extract(data, 'Date\\(([0-9]+)', 1)::bigint * 1000) as created_on",
             "make_timestamp(json_extract_string(data, '$.EventCreatedOn')::bigint * 1000)"
             " as eventcreatedon",
-            "cast(null as timestamp) as impressioncreatedon",
+            "make_timestamp(json_extract_string(data, '$.ImpressionCreatedOn')::bigint * 1000)"
+            " as impressioncreatedon",
             "json_extract_string(data, '$.Keywords') as keywords",
             "json_extract_string(data, '$.TimeZoneId') as timezoneid",
             "json_extract_string(data, '$.Price') as price",
             "json_extract_string(data, '$.User.Key') as user_key",
             "json_extract_string(data, '$.User.IsNew')::boolean as user_is_new",
             "json_extract_string(data, '$.User.Type')::int as user_type",
-            "cast(null as boolean) as isnotrack",
-            "cast(null as boolean) as datacenter",
-            *(f"cast(null as varchar) as {c}" for c in _NULL_TEXT),
-            *(f"cast(null as int) as {c}" for c in _NULL_INTS),
+            *(f"{_FLAG.format(m)} as {m.lower()}" for m in ("IsNoTrack", "DataCenter")),
+            *(f"json_extract_string(data, '$.{m}') as {m.lower()}" for m in CLICK_TEXTS),
+            *(f"json_extract_string(data, '$.{m}')::int as {m.lower()}" for m in CLICK_INTS),
             "file_name",
             "last_modified_date",
             "year",
