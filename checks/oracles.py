@@ -613,4 +613,5 @@ ORACLES["listing_by_prefix"] = ORACLES["footer_row_counts"]
 ORACLES["stream_distinct_keys"] = _with(
     ("session_clicks",), "select distinct id, year from e_session_clicks"
 )
+ORACLES["stream_clicks_bucketed"] = ORACLES["clicks_dedupe"]
 ORACLES["stream_clicks_flatten"] = ORACLES["clicks_flatten"]

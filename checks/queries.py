@@ -262,6 +262,17 @@ def stream_clicks_available_now(spark, folder):
     return stored_clicks(spark, f"{work}/clicks")
 
 
+def stream_clicks_bucketed(spark, folder):
+    """Clicks of a stream of files, inserted into a catalog table bucketed by id."""
+    work = work_folder(spark)
+    Entities(spark, folder)["session_clicks"].write.parquet(f"{work}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{work}/in").schema).parquet(f"{work}/in")
+    table = "ledgerloom_stream_clicks"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    ingest_clicks(stream, f"{work}/clicks", f"{work}/state", table, 8).awaitTermination()
+    return spark.table(table)
+
+
 def booster_writeback(spark, folder):
     return boost.boosted(*Entities(spark, folder).frames("wpcs", "boost_scores"))
 
@@ -509,6 +520,7 @@ QUERIES: dict[str, Query] = {
     "listing_by_prefix": listing_by_prefix,
     "booster_published": booster_published,
     "footer_row_counts": footer_row_counts,
+    "stream_clicks_bucketed": stream_clicks_bucketed,
     "stream_distinct_keys": stream_distinct_keys,
     "stream_clicks_flatten": stream_clicks_flatten,
 }

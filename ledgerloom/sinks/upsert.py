@@ -84,9 +84,32 @@ def insert_new_clicks_into(
     fresh.select(*columns).write.insertInto(table)
 
 
-def ingest_recent_clicks(spark: SparkSession, base: str, today: date, path: str) -> None:
+def insert_clicks(
+    clicks: DataFrame, path: str, table: str | None = None, buckets: int | None = None
+) -> None:
+    """Insert into a bucketed catalog table, made at the path if it is new, or else into the path alone.
+
+    With the table a batch moves its own rows only, however long the stored history is.
+    """
+    if table is None:
+        insert_new_clicks(clicks, path)
+        return
+    if buckets is None:
+        raise ValueError("a bucketed click table needs its number of buckets")
+    create_click_table(clicks.sparkSession, table, path, buckets)
+    insert_new_clicks_into(clicks, table, buckets)
+
+
+def ingest_recent_clicks(
+    spark: SparkSession,
+    base: str,
+    today: date,
+    path: str,
+    table: str | None = None,
+    buckets: int | None = None,
+) -> None:
     """Insert the clicks of the last day folders; the years compared are those of the rows read."""
-    insert_new_clicks(click_rows(read_click_lines(spark, base, today)), path)
+    insert_clicks(click_rows(read_click_lines(spark, base, today)), path, table, buckets)
 
 
 def write_boosted(

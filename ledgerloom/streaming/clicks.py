@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.clicks import KEY, click_rows
-from ..sinks.upsert import insert_new_clicks
+from ..sinks.upsert import insert_clicks
 from ..sources.objects import DAYS, day_folders, line_columns
 
 LATENESS = "5 days"
@@ -46,16 +46,23 @@ def stream_click_lines(
     return lines.select(*line_columns(base)).where(F.col("file_name").contains(name_part))
 
 
-def ingest_clicks(clicks: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+def ingest_clicks(
+    clicks: DataFrame,
+    target: str,
+    checkpoint: str,
+    table: str | None = None,
+    buckets: int | None = None,
+) -> StreamingQuery:
     """Insert a stream of raw click records into the stored table; all that is available, once.
 
-    Exact over the whole history: each batch is compared with the stored years it touches.
+    Exact over the whole history: each batch is compared with the stored years it touches. With a
+    bucketed `table` (at the target path) the stored keys are not moved for it.
     """
 
     def insert(batch: DataFrame, _batch_id: int) -> None:
         kept = batch.persist()
         try:
-            insert_new_clicks(kept, target)
+            insert_clicks(kept, target, table, buckets)
         finally:
             kept.unpersist()
 
@@ -75,7 +82,14 @@ def distinct_recent_clicks(clicks: DataFrame, lateness: str = LATENESS) -> DataF
 
 
 def ingest_click_folder(
-    spark: SparkSession, base: str, target: str, checkpoint: str, today: date | None = None
+    spark: SparkSession,
+    base: str,
+    target: str,
+    checkpoint: str,
+    today: date | None = None,
+    table: str | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Ingest every click object below a base, or those of the last day folders of `today`."""
-    return ingest_clicks(click_rows(stream_click_lines(spark, base, today=today)), target, checkpoint)
+    rows = click_rows(stream_click_lines(spark, base, today=today))
+    return ingest_clicks(rows, target, checkpoint, table, buckets)
