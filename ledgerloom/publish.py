@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 from datetime import date
 from functools import reduce
@@ -13,7 +14,8 @@ from .operators.lookup import planned_bytes
 from .plans.catalogue import OUTPUTS, WINDOWED, build
 from .session import widen_shuffles
 from .sinks.catalog import register
-from .sinks.parquet import dataset_path, refresh_partitions, write_snapshot
+from .sinks.parquet import dataset_path, manifest_row, refresh_partitions, write_snapshot
+from .sinks.upsert import ingest_recent_clicks, write_boosted
 from .sources.tables import read_table
 
 
@@ -47,6 +49,41 @@ def publish_windows(
     return written.select(F.lit(name).alias("name"), "*")
 
 
+def publish_boosted(
+    spark: SparkSession,
+    scores: DataFrame,
+    base: str,
+    out: str,
+    version: str,
+    database: str | None = None,
+) -> DataFrame:
+    """Write the configurations with new booster values as a version; returns its manifest row.
+
+    With a `database` the table `wpcs` there is pointed at the new version.
+    """
+    wpcs = read_table(spark, base, "wpcs")
+    widen_shuffles(spark, planned_bytes(wpcs))
+    table = None if database is None else f"{database}.wpcs"
+    started = time.monotonic()
+    path = write_boosted(wpcs, scores, dataset_path(out, "wpcs"), version, table)
+    return manifest_row(spark, path, started).select(F.lit("wpcs").alias("name"), "*")
+
+
+def publish_clicks(
+    spark: SparkSession,
+    objects: str,
+    out: str,
+    today: date,
+    table: str | None = None,
+    buckets: int | None = None,
+) -> DataFrame:
+    """Insert the clicks of the last day folders that are not stored yet; returns the store's manifest row."""
+    path = dataset_path(out, "ads_clicks")
+    started = time.monotonic()
+    ingest_recent_clicks(spark, objects, today, path, table, buckets)
+    return manifest_row(spark, path, started).select(F.lit("ads_clicks").alias("name"), "*")
+
+
 def publish_all(
     spark: SparkSession,
     base: str,

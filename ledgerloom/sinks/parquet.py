@@ -50,8 +50,13 @@ def write_snapshot(frame: DataFrame, path: str) -> DataFrame:
     """Replace a data set and return its manifest row."""
     started = time.monotonic()
     frame.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+    return manifest_row(frame.sparkSession, path, started)
+
+
+def manifest_row(spark: SparkSession, path: str, started: float) -> DataFrame:
+    """The manifest row of a data set whose writing began at `started` (monotonic seconds)."""
     elapsed = int((time.monotonic() - started) * 1000)
-    written = file_sizes(frame.sparkSession, path)
+    written = file_sizes(spark, path)
     entry = written.select(
         F.lit(path).alias("path"),
         F.lit(None).cast("string").alias("window_start"),

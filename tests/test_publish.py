@@ -3,8 +3,8 @@ from datetime import date, datetime
 import pytest
 
 from ledgerloom.plans.catalogue import OUTPUTS, WINDOWED, build
-from ledgerloom.publish import publish, publish_all, publish_windows
-from ledgerloom.schemas import TABLES, table_schema
+from ledgerloom.publish import publish, publish_all, publish_boosted, publish_clicks, publish_windows
+from ledgerloom.schemas import BOOST_SCORES, TABLES, table_schema
 
 
 @pytest.fixture(scope="module")
@@ -52,3 +52,23 @@ def test_publish_windows(spark, base, tmp_path, name, expected):
         assert sum(r["rows"] for r in manifest.collect()) == expected
     assert len(WINDOWED[name].partition_by) in (1, 3)
     assert spark.read.parquet(f"{tmp_path}/out/{name}").count() == expected
+
+
+def test_publish_registers_and_repoints(spark, table, tmp_path):
+    table("wpcs", *[dict(id=i, ware_id=i, provider_id=1, organization_id=1, booster=1.0) for i in range(3)]).write.parquet(f"{tmp_path}/wpcs")
+    scores = spark.createDataFrame([(1, 1, 2, 1, 4.5, "true")], BOOST_SCORES)
+    spark.sql("CREATE DATABASE IF NOT EXISTS published")
+    for version in ("v1", "v2"):
+        (row,) = publish_boosted(spark, scores, str(tmp_path), f"{tmp_path}/out", version, "published").collect()
+        assert (row["name"], row["rows"]) == ("wpcs", 3) and row["path"].endswith(version)
+    assert sorted(r.booster for r in spark.table("published.wpcs").collect()) == [1.0, 1.0, 4.5]
+    spark.sql("DROP DATABASE published CASCADE")
+
+
+def test_publish_clicks(spark, tmp_path):
+    folder = tmp_path / "objects/2024/06/15"
+    folder.mkdir(parents=True)
+    (folder / "clicks-1.txt").write_text('{"Id": "a"}\n{"Id": "b"}\n')
+    for _ in range(2):
+        (row,) = publish_clicks(spark, f"{tmp_path}/objects", f"{tmp_path}/out", date(2024, 6, 15)).collect()
+        assert (row["name"], row["rows"]) == ("ads_clicks", 2)
