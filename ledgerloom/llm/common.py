@@ -92,6 +92,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def thinned(rows: DataFrame, total: int, wanted: int, place: str) -> DataFrame:
+    """Of `total` rows those with the smallest values of a 64-bit hash column: half as many again as wanted, about.
+
+    So a bounded sample sorts few rows, and no task hands on a full one. All rows where they are few.
+    """
+    if total <= 2 * wanted + 100:
+        return rows
+    share = (1.5 * wanted + 50) / total
+    return rows.where(F.col(place) < F.lit(int(-(1 << 63) + share * (1 << 64))))
+
+
 def text_bytes(value: str | None) -> bytes:
     """UTF-8 bytes with A-Z lower-cased; other letters are left alone."""
     return b"" if value is None else value.encode("utf-8", "surrogatepass").lower()

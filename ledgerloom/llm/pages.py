@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import map_texts
+from ledgerloom.llm.common import map_texts, thinned
 
 #: Training pages, at most.
 SAMPLE = 120
@@ -366,7 +366,9 @@ def variants(source: str, rng: random.Random) -> list[str]:
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> Forest | None:
     """Boosted trees on at most `sample` pages with an article or main element, fixed by the hash of page_id; None without any."""
-    fit = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]")).select("html").orderBy(F.xxhash64("page_id"), "html").limit(sample)
+    place = F.xxhash64("page_id", "html")
+    able = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]")).select("html", place.alias("place"))
+    fit = thinned(able, able.count(), sample, "place").orderBy("place", "html").limit(sample)
     rng = random.Random(11)
     x, y = [], []
     for row in fit.collect():
