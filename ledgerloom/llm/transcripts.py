@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from ledgerloom.llm.common import checkpointed, map_texts
+from ledgerloom.llm.common import checkpointed, map_texts, thinned
 
 SAMPLE, SPAN_BITS, LEVELS, CROWD = 20_000, 8, 2, 4096
 NO_TURN = 1 << 40
@@ -113,7 +113,9 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """Counts over at most `sample` rows of whole conversations (fixed by the hash of conv_id); null roles are left out."""
     place = F.xxhash64("conv_id")
     chosen = labelled.where("role is not null and conv_id is not null").select("conv_id", "turn", "role", "text")
-    rows = chosen.orderBy(place, "conv_id", F.col("turn").asc_nulls_last(), F.xxhash64("text")).limit(sample)
+    # Half as many rows again as wanted are let through; the limit takes whole conversations in hash order.
+    few = thinned(chosen.withColumn("place", place), chosen.count(), sample, "place")
+    rows = few.orderBy("place", "conv_id", F.col("turn").asc_nulls_last(), F.xxhash64("text")).limit(sample)
 
     def work(batch: dict[str, list]) -> dict[str, list]:
         seen = [observe(t) for t in batch["text"]]
