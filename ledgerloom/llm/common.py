@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Characters of text handled at once inside a task; one longer text is a batch of its own.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
