@@ -267,7 +267,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, hot: int = HOT, shar
         return _search_shard(part, window)
 
     masks = routed.groupBy("shard").applyInArrow(search, "minimiser long, segment long, mask long")
-    masks = masks.groupBy("minimiser", "segment").agg(F.bit_or("mask").alias("mask"))
+    # Cut off from its aggregate, the join may split a segment that very many documents share.
+    masks = checkpointed(masks.groupBy("minimiser", "segment").agg(F.bit_or("mask").alias("mask")))
     return open_rows.join(masks, ["minimiser", "segment"]).select("key", "first", "mask")
 
 
