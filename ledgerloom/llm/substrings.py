@@ -8,8 +8,9 @@ number of their occurrences as weight, are dealt to shards by minimiser. Each sh
 FM-index (wavelet matrix over packed bits with block counts) and streams its segments through it: a
 backward search from every window's end gives the matching statistic, and a window is reported if it
 still has a weight of two or more after `WINDOW` words. A minimiser with more than `HOT` distinct
-segments is dealt out by whole windows instead, so no shard depends on the frequency of one passage.
-Words are compared as 48-bit hashes.
+segments would make its shard too large: a passage that many documents share among different words has
+as many segments. Its windows are grouped by their words in Spark instead, with weights summed before
+the shuffle, so no task depends on the frequency of one passage. Words are compared as 48-bit hashes.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ WINDOW, GRAM = 35, 8
 HOT, SHARD_SEGMENTS = 20_000, 8_000
 HASH_BITS = 48
 LOW32 = np.uint64(0xFFFFFFFF)
-BASE = 0x9E3779B97F4A7C15
+BASE, BASE_2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 LANES = 100_000
 
 
@@ -58,11 +59,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _runs_hash(words: np.ndarray, width: int) -> np.ndarray:
+def _runs_hash(words: np.ndarray, width: int, base: int = BASE) -> np.ndarray:
     """A 64-bit hash of every `width` consecutive word hashes."""
     acc = np.zeros(len(words) - width + 1, np.uint64)
     for i in range(width):
-        acc = acc * np.uint64(BASE) + words[i : i + len(acc)]
+        acc = acc * np.uint64(base) + words[i : i + len(acc)]
     return _mixed(acc)
 
 
@@ -211,31 +212,59 @@ def _unpacked(value: bytes) -> np.ndarray:
     return wide.view("<u8").ravel().astype(np.uint64)
 
 
+def _marked(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(text, marks): each text that holds the place of a chosen segment, with its segments."""
+    lists = chosen.groupBy("key").agg(F.collect_list(F.struct("first", "n", "minimiser", "segment", "weight")).alias("marks"))
+    return docs.where("text is not null").join(lists, "key").select("text", "marks")
+
+
 def _routed(docs: DataFrame, chosen: DataFrame, shards: int, window: int) -> DataFrame:
-    """The words of chosen segments, each with its shard: whole, or window by window where `hot`."""
-    lists = chosen.groupBy("key").agg(F.collect_list(F.struct("first", "n", "minimiser", "segment", "weight", "hot")).alias("marks"))
-    texts = docs.where("text is not null").join(lists, "key").select("text", "marks")
+    """The words of chosen segments, each with its shard."""
+
+    def work(rows: dict[str, list]) -> dict[str, list]:
+        out: dict[str, list] = {k: [] for k in ("shard", "minimiser", "segment", "weight", "words")}
+        for text, marks in zip(rows["text"], rows["marks"], strict=True):
+            codes = hashes(words_of(text))
+            for m in marks:
+                own = codes[m["first"] : m["first"] + m["n"] + window - 1]
+                for name, value in (("shard", m["minimiser"] % shards), ("minimiser", m["minimiser"]), ("segment", m["segment"]), ("weight", m["weight"]), ("words", _packed(own))):
+                    out[name].append(value)
+        return out
+
+    return map_texts(_marked(docs, chosen), ["text", "marks"], "text", "shard int, minimiser long, segment long, weight long, words binary", work)
+
+
+def _hot_windows(docs: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
+    """(minimiser, segment, mask) of the windows of chosen segments that occur twice, a row for each; a mask has one bit.
+
+    Equal windows are merged by two 64-bit hashes of their words; a segment that was delivered twice counts once.
+    """
 
     def work(rows: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {k: [] for k in ("shard", "minimiser", "segment", "part", "weight", "words")}
+        out: dict[str, list] = {k: [] for k in ("minimiser", "segment", "part", "weight", "w1", "w2")}
         for text, marks in zip(rows["text"], rows["marks"], strict=True):
             codes = hashes(words_of(text))
             for m in marks:
-                spans = [(0, m["n"])] if not m["hot"] else [(k, 1) for k in range(m["n"])]
-                for k, n in spans:
-                    own = codes[m["first"] + k : m["first"] + k + n + window - 1]
-                    route = int(_runs_hash(own, window)[0]) if m["hot"] else m["minimiser"]
-                    for name, value in (("shard", route % shards), ("minimiser", m["minimiser"]), ("segment", m["segment"]), ("part", k), ("weight", m["weight"]), ("words", _packed(own))):
-                        out[name].append(value)
+                n, own = m["n"], codes[m["first"] : m["first"] + m["n"] + window - 1]
+                for name in ("minimiser", "segment", "weight"):
+                    out[name] += [m[name]] * n
+                out["part"] += range(n)
+                out["w1"] += _runs_hash(own, window).view(np.int64).tolist()
+                out["w2"] += _runs_hash(own, window, BASE_2).view(np.int64).tolist()
         return out
 
-    return map_texts(texts, ["text", "marks"], "text", "shard int, minimiser long, segment long, part int, weight long, words binary", work)
+    schema = "minimiser long, segment long, part int, weight long, w1 long, w2 long"
+    parts = checkpointed(map_texts(_marked(docs, chosen), ["text", "marks"], "text", schema, work).distinct())
+    twice = parts.groupBy("w1", "w2").agg(F.sum("weight").alias("total")).where("total > 1").select("w1", "w2")
+    # Cut off from its aggregate, the join may split a window that very many segments have.
+    found = parts.join(checkpointed(twice), ["w1", "w2"])
+    return found.select("minimiser", "segment", F.expr("shiftleft(1L, part)").alias("mask"))
 
 
 def _search_shard(table: pa.Table, window: int) -> pa.Table:
     """Masks of repeated windows of a shard's segments; a segment that was delivered twice counts once."""
-    columns = {n: table.column(n).to_pylist() for n in ("minimiser", "segment", "part", "weight", "words")}
-    at = {key: i for i, key in enumerate(zip(columns["minimiser"], columns["segment"], columns["part"], strict=True))}
+    columns = {n: table.column(n).to_pylist() for n in ("minimiser", "segment", "weight", "words")}
+    at = {key: i for i, key in enumerate(zip(columns["minimiser"], columns["segment"], strict=True))}
     keys, rows = list(at), list(at.values())
     parts = [_unpacked(columns["words"][i]) for i in rows]
     weights = np.array([columns["weight"][i] for i in rows], np.int64)
@@ -245,8 +274,7 @@ def _search_shard(table: pa.Table, window: int) -> pa.Table:
     ends = np.repeat(index.starts, n) + offset + window
     found = np.concatenate([index.repeated(ends[i : i + LANES], window) for i in range(0, len(ends), LANES)])
     masks = np.add.reduceat(np.where(found, 1 << offset, 0), np.cumsum(n) - n)
-    masks = [int(m) << part for m, (_, _, part) in zip(masks, keys, strict=True)]
-    kept = [(m, s, x) for (m, s, _), x in zip(keys, masks, strict=True) if x]
+    kept = [(m, s, int(x)) for (m, s), x in zip(keys, masks, strict=True) if x]
     return pa.table({"minimiser": pa.array([k[0] for k in kept], pa.int64()), "segment": pa.array([k[1] for k in kept], pa.int64()), "mask": pa.array([k[2] for k in kept], pa.int64())})
 
 
@@ -258,15 +286,16 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, hot: int = HOT, shar
     open_rows = checkpointed(every.join(checkpointed(shared), "minimiser"))
     distinct = open_rows.groupBy("minimiser", "segment").agg(F.count("*").alias("weight"), F.min(F.struct("key", "first", "n")).alias("place"))
     distinct = checkpointed(distinct.select("minimiser", "segment", "weight", "place.key", "place.first", "place.n"))
-    many = distinct.groupBy("minimiser").agg(F.count("*").alias("parts")).where(F.col("parts") > hot).select("minimiser", F.lit(True).alias("hot"))
-    chosen = distinct.join(many, "minimiser", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    shards = 1 + chosen.agg(F.sum(F.when(F.col("hot"), F.col("n")).otherwise(1))).first()[0] // shard_segments if not distinct.isEmpty() else 1
-    routed = _routed(docs, chosen, int(shards), window)
+    many = checkpointed(distinct.groupBy("minimiser").agg(F.count("*").alias("parts")).where(F.col("parts") > hot).select("minimiser"))
+    chosen = distinct.join(many, "minimiser", "left_anti")
+    routed = _routed(docs, chosen, 1 + chosen.count() // shard_segments, window)
 
     def search(part: pa.Table) -> pa.Table:
         return _search_shard(part, window)
 
     masks = routed.groupBy("shard").applyInArrow(search, "minimiser long, segment long, mask long")
+    if not many.isEmpty():
+        masks = masks.unionByName(_hot_windows(docs, distinct.join(many, "minimiser"), window))
     # Cut off from its aggregate, the join may split a segment that very many documents share.
     masks = checkpointed(masks.groupBy("minimiser", "segment").agg(F.bit_or("mask").alias("mask")))
     return open_rows.join(masks, ["minimiser", "segment"]).select("key", "first", "mask")

@@ -145,6 +145,21 @@ def test_substrings_against_brute_force(spark, hot):
     assert [found[i] for i in range(len(texts))] == brute_substrings(texts, 35)
 
 
+def test_a_passage_of_many_documents_is_in_no_shard_many_times(spark, monkeypatch):
+    r = random.Random(3)
+    word = lambda n: [f"w{r.randrange(5000)}" for _ in range(n)]
+    passage = word(45)
+    texts = [" ".join(word(30) + passage + word(30)) for _ in range(120)] + [" ".join(word(80))] * 3
+    rows = [*enumerate(texts), (0, texts[0])]
+    routed, inner = [], substrings._routed
+    monkeypatch.setattr(substrings, "_routed", lambda *a: routed.append(inner(*a)) or routed[-1])
+    found = substrings.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), hot=20, shard_segments=50).collect()
+    want = brute_substrings([t for _, t in rows], 35)
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found) == sorted((i, *w) for (i, _), w in zip(rows, want))
+    # Before, each of the 120 edge segments sent its copy of every window of the passage to one shard.
+    assert max(x["count"] for x in routed[0].dropDuplicates(["minimiser", "segment", "words"]).groupBy("words").count().collect()) == 1
+
+
 def brute_components(texts):
     prints = [simhash.simhash(t) for t in texts]
     label = list(range(len(texts)))
