@@ -59,11 +59,11 @@ def _feistel(high: Column, low: Column, m: Column, n: Column, key: str, tweak: s
 
 
 def _power(base: int, exponent: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(base**i).cast("long") for i in range(11 if base == 10 else 10)]), exponent + 1)
+    return F.element_at(F.array(*[F.lit(base**i).cast("long") for i in range(12 if base == 10 else 10)]), exponent + 1)
 
 
 def permute_digits(digits: Column, key: str, tweak: str) -> Column:
-    """A string of 2 to 20 decimal digits, permuted among the strings of its length."""
+    """A string of 2 to 22 decimal digits, permuted among the strings of its length."""
     size = F.length(digits)
     left = F.floor(size / 2).cast("int")
     m, n = _power(10, left), _power(10, size - left)

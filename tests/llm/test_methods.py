@@ -80,6 +80,19 @@ def test_pseudonyms_keep_their_format(spark):
     assert other != found["ssn"].text
 
 
+def test_longest_match_of_every_pattern(spark):
+    texts = [
+        "+123 4567 8901 2345 6789 0123", "+1 (0123) 4567 8901", "1234 5678 9012 3456 789", "123-45-6789", "255.255.255.255", "2199-12-31",
+        "a" * 300 + "@" + "b" * 60 + ".example", "GB82 1234 5678 9012 3456 7890 1234 5678 901",
+    ]
+    found = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        # Octets may have another number of digits.
+        digits = r"\d+" if i == 4 else r"\w"
+        assert found[i].n_found == 1 and re.sub(digits, "x", found[i].text) == re.sub(digits, "x", text)
+    assert found[0].text[:3] == "+12" and found[0].n_changed == 1
+
+
 @pytest.mark.parametrize("size", [2, 3])
 def test_digit_network_is_a_permutation(spark, size):
     from pyspark.sql import functions as F
