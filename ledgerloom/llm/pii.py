@@ -4,7 +4,7 @@ Found values are validated (check sums, ranges, calendar) and permuted within th
 Feistel network, so equal values get equal pseudonyms in all documents, and a pseudonym is valid again:
 
 * payment card and other numbers with a Luhn digit, and 16-digit numbers as a whole: digits permuted,
-  the Luhn digit computed anew where the number had a valid one; separators stay where they are
+  the Luhn digit computed anew where the number had a valid one, and wrong again where not; separators stay where they are
 * IBANs: the account part is permuted, the two check digits are computed anew (letters stay)
 * telephone numbers with a country code or an area code in brackets: the digits after these
 * social-security-like numbers ddd-dd-dddd with a valid area, group and serial
@@ -20,6 +20,7 @@ modulo its size, in turns; so it is a permutation of the m * n values, whatever
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ CYCLE_START = "1800-01-01"
 CYCLE = (189, 773)
 
 
-def _feistel(high: Column, low: Column, m: Column, n: Column, key: str, tweak: str) -> tuple[Column, Column]:
+def _feistel(high: Column, low: Column, m: Column, n: Column, key: str, tweak: str | Column) -> tuple[Column, Column]:
     """Permuted halves of a value (high below m, low below n); turns alternate between the halves."""
     start = F.struct(high.cast("long").alias("a"), low.cast("long").alias("b"))
 
@@ -62,7 +63,7 @@ def _power(base: int, exponent: Column) -> Column:
     return F.element_at(F.array(*[F.lit(base**i).cast("long") for i in range(12 if base == 10 else 10)]), exponent + 1)
 
 
-def permute_digits(digits: Column, key: str, tweak: str) -> Column:
+def permute_digits(digits: Column, key: str, tweak: str | Column) -> Column:
     """A string of 2 to 22 decimal digits, permuted among the strings of its length."""
     size = F.length(digits)
     left = F.floor(size / 2).cast("int")
@@ -91,12 +92,33 @@ def luhn_sum(digits: Column, doubled_from_right: int) -> Column:
     return F.aggregate(weighed, F.lit(0), lambda s, d: s + d)
 
 
+def _bound(value: Column, make: Callable[[Column], Column]) -> Column:
+    """`make(value)`, with the value computed once."""
+    return F.element_at(F.transform(F.array(value), make), 1)
+
+
 def pseudo_card(value: Column, key: str) -> Column:
-    """13 to 19 digits with separators: with a valid Luhn digit it is valid again, else all digits are permuted."""
+    """13 to 19 digits with separators: with a valid Luhn digit it is valid again. Of the others only 16 digits change.
+
+    Those stay invalid, so the two ranges are apart: the last digit's distance (1 to 9) from the valid
+    one selects the network of the other 15 digits, and is itself shifted by a hash of what these become.
+    """
     digits = only_digits(value)
-    body = permute_digits(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card")
-    with_check = F.concat(body, F.pmod(-luhn_sum(body, 0), F.lit(10)).cast("string"))
-    return refill(value, F.when(luhn_sum(digits, 1) % 10 == 0, with_check).otherwise(permute_digits(digits, key, "number")))
+    start = F.substring(digits, F.lit(1), F.length(digits) - 1)
+    check = lambda body: F.pmod(-luhn_sum(body, 0), F.lit(10))
+    valid = _bound(permute_digits(start, key, "card"), lambda body: F.concat(body, check(body).cast("string")))
+    distance = F.pmod(F.substring(digits, -1, 1).cast("int") - check(start), F.lit(10))
+
+    def invalid(d: Column) -> Column:
+        shift = lambda body: F.pmod(F.xxhash64(F.lit(key), F.lit("number"), body), F.lit(9))
+        last = lambda body: F.pmod(check(body) + 1 + F.pmod(d - 1 + shift(body), F.lit(9)), F.lit(10))
+        return _bound(permute_digits(start, key, F.concat(F.lit("number"), d.cast("string"))), lambda body: F.concat(body, last(body).cast("string")))
+
+    return (
+        F.when(luhn_sum(digits, 1) % 10 == 0, refill(value, valid))
+        .when(F.length(digits) == 16, refill(value, _bound(distance, invalid)))
+        .otherwise(value)
+    )
 
 
 def pseudo_phone(value: Column, key: str) -> Column:

@@ -80,6 +80,18 @@ def test_pseudonyms_keep_their_format(spark):
     assert other != found["ssn"].text
 
 
+def test_numbers_without_a_check_digit(spark):
+    r = random.Random(8)
+    numbers = [n for n in (f"{r.randrange(10**16):016d}" for _ in range(1500)) if not luhn(n)] + [f"411111111111111{d}" for d in range(10)]
+    kept = ["1733000000001", "2019-2020-2021-20221", "1234567890123456789"]
+    assert not any(luhn(re.sub(r"\D", "", k)) for k in kept)
+    rows = spark.createDataFrame([(t, t) for t in {*numbers, *kept}], "name string, text string")
+    found = {x.name: x.text for x in pii.pseudonymise(rows).collect()}
+    assert all(found[k] == k for k in kept)
+    assert all(luhn(found[n]) == luhn(n) and len(found[n]) == 16 and found[n] != n for n in numbers)
+    assert len({found[n] for n in numbers}) == len(set(numbers))
+
+
 def test_longest_match_of_every_pattern(spark):
     texts = [
         "+123 4567 8901 2345 6789 0123", "+1 (0123) 4567 8901", "1234 5678 9012 3456 789", "123-45-6789", "255.255.255.255", "2199-12-31",
