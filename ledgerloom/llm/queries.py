@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, langid, licenses, pages, pieces, pii, simhash, substrings, topk, transcripts
+from ledgerloom.llm import collocations, decontaminate, exact, langid, licenses, pages, pieces, pii, simhash, substrings, topk, transcripts, whitening
 from ledgerloom.llm.common import table
 
 
@@ -60,6 +60,19 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_chat_format": op2_chat_format,
@@ -71,6 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 OP10_SQL = r"""
@@ -127,7 +143,43 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS B
 FROM docs LEFT JOIN gone USING (rid) LEFT JOIN kept USING (rid)
 """
 
+OP12_SQL = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d JOIN g USING (t)
+"""
+
+OP13_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS (
+  SELECT lang, k, w[s : s + k - 1] AS v, count(*) AS f
+  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS s FROM w), (VALUES (1), (2), (3), (4)) AS lengths(k)
+  WHERE s + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+  SELECT c.lang, c.k, c.v, c.f AS a, l.f AS l, r.f AS r, l.k AS cut,
+         CAST(CAST(2000000 AS HUGEINT) * c.f // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+  FROM f c JOIN f l ON l.lang = c.lang AND l.k < c.k AND l.v = c.v[1 : l.k]
+           JOIN f r ON r.lang = c.lang AND r.k = c.k - l.k AND r.v = c.v[l.k + 1 : c.k]),
+low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, v ORDER BY score, cut) = 1),
+inside AS (
+  SELECT DISTINCT b.lang, b.v[s : s + m - 1] AS v, m AS k, b.f
+  FROM f b, (VALUES (2), (3)) AS shorter(m), (VALUES (1), (2), (3)) AS starts(s) WHERE m < b.k AND s + m - 1 <= b.k),
+gone AS (SELECT DISTINCT low.lang, low.v FROM low JOIN inside i ON i.lang = low.lang AND i.k = low.k AND i.v = low.v WHERE CAST(100 AS HUGEINT) * i.f >= CAST(80 AS HUGEINT) * low.a),
+kept AS (SELECT lang, array_to_string(v, ' ') AS phrase, a, l, r, score FROM low ANTI JOIN gone USING (lang, v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
+    "op12_exact_dedup": OP12_SQL,
+    "op13_phrase_collocations": OP13_SQL,
     "op6_substring_dedup": OP6_SQL,
     "op5_exact_topk": OP5_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
