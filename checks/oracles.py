@@ -615,3 +615,13 @@ ORACLES["stream_distinct_keys"] = _with(
 )
 ORACLES["stream_clicks_bucketed"] = ORACLES["clicks_dedupe"]
 ORACLES["stream_clicks_flatten"] = ORACLES["clicks_flatten"]
+ORACLES["booster_files"] = ORACLES["booster_writeback"]
+ORACLES["clicks_from_ledger"] = _with(
+    ("session_clicks",),
+    """select distinct id, true as this_year from e_session_clicks
+       where file_name in ('view.gz', 'signup.gz', 'purchase.gz', 'click.gz', 'impression.gz')""",
+)
+ORACLES["stream_click_objects"] = ORACLES["clicks_from_ledger"]
+ORACLES["declared_names"] = _with(
+    ("addresses",), "select id, type_, organization_name from e_addresses"
+)

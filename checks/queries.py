@@ -21,15 +21,19 @@ from ledgerloom.schemas import BOOST_SCORES
 from ledgerloom.sinks.catalog import register
 from ledgerloom.sinks.parquet import dataset_path, refresh_partitions, row_count, write_snapshot
 from ledgerloom.sinks.upsert import (
+    boost_files,
     create_click_table,
     insert_new_clicks,
     insert_new_clicks_into,
     stored_clicks,
     write_boosted,
 )
+from ledgerloom.sinks.versions import read_version, write_full
 from ledgerloom.sources.objects import list_objects, read_click_lines
 from ledgerloom.sources.scores import read_scores_csv
+from ledgerloom.sources.tables import declared
 from ledgerloom.streaming.clicks import distinct_recent_clicks, ingest_clicks
+from ledgerloom.streaming.ledger import ingest_click_days, ingest_new_objects
 
 from .entities import BASE_TABLES, Entities
 
@@ -446,6 +450,57 @@ def _run_to_end(stream: DataFrame, work: str) -> None:
     writer.trigger(availableNow=True).start(f"{work}/out").awaitTermination()
 
 
+def _day_objects(spark, folder, base: str, late: bool) -> None:
+    """Click objects of two days; with `late` also one more in the older folder, with clicks of its own."""
+    rows = Entities(spark, folder)["session_clicks"]
+    days = {"2024/01/17": ("view", "signup"), "2024/01/18": ("purchase", "signup")}
+    if late:
+        days = {"2024/01/17/late": ("click", "impression")}
+    for day, kinds in days.items():
+        lines = rows.where(F.col("file_name").isin(*[f"{k}.gz" for k in kinds])).select(F.col("data").alias("value"))
+        lines.write.option("compression", "gzip").text(f"{base}/{day}/clicks")
+
+
+def clicks_from_ledger(spark, folder):
+    """Objects of day folders ingested on two days by the ledger, one of them late, and once more."""
+    work = work_folder(spark)
+    args = (f"{work}/clicks", f"{work}/ledger")
+    _day_objects(spark, folder, f"{work}/in", late=False)
+    ingest_new_objects(spark, f"{work}/in", date(2024, 1, 17), *args)
+    _day_objects(spark, folder, f"{work}/in", late=True)
+    for _ in range(2):
+        ingest_new_objects(spark, f"{work}/in", date(2024, 1, 18), *args)
+    this_year = F.col("year") == F.year(F.current_timestamp())
+    return stored_clicks(spark, f"{work}/clicks").select("id", this_year.alias("this_year"))
+
+
+def stream_click_objects(spark, folder):
+    """The same objects as streams of gzip text, a checkpoint for every day folder."""
+    work = work_folder(spark)
+    _day_objects(spark, folder, f"{work}/in", late=False)
+    ingest_click_days(spark, f"{work}/in", f"{work}/clicks", f"{work}/state", date(2024, 1, 17), 2)
+    _day_objects(spark, folder, f"{work}/in", late=True)
+    ingest_click_days(spark, f"{work}/in", f"{work}/clicks", f"{work}/state", date(2024, 1, 18), 2)
+    this_year = F.col("year") == F.year(F.current_timestamp())
+    return stored_clicks(spark, f"{work}/clicks").select("id", this_year.alias("this_year"))
+
+
+def booster_files(spark, folder):
+    """Scores written into a versioned table by file, and a second time without effect."""
+    work = work_folder(spark)
+    wpcs, scores = Entities(spark, folder).frames("wpcs", "boost_scores")
+    write_full(wpcs.repartitionByRange(16, "ware_id"), f"{work}/wpcs")
+    for _ in range(2):
+        boost_files(spark, scores, f"{work}/wpcs")
+    return read_version(spark, f"{work}/wpcs", wpcs.schema)
+
+
+def declared_names(spark, folder):
+    """Addresses with the database's own column names, read under the declared ones."""
+    rows = Entities(spark, folder)["addresses"].withColumnRenamed("type_", "type")
+    return declared(rows, "addresses").select("id", "type_", "organization_name")
+
+
 def listing_by_prefix(spark, folder):
     """Tables found by listing the folder, with the rows of their files."""
     name = lambda path: F.regexp_extract(path, r"([a-z_]+)\.parquet", 1)
@@ -519,6 +574,10 @@ QUERIES: dict[str, Query] = {
     "snapshot_registered": snapshot_registered,
     "listing_by_prefix": listing_by_prefix,
     "booster_published": booster_published,
+    "booster_files": booster_files,
+    "clicks_from_ledger": clicks_from_ledger,
+    "stream_click_objects": stream_click_objects,
+    "declared_names": declared_names,
     "footer_row_counts": footer_row_counts,
     "stream_clicks_bucketed": stream_clicks_bucketed,
     "stream_distinct_keys": stream_distinct_keys,

@@ -44,3 +44,12 @@ def boosted(
     rows = lookup(wpcs, fresh, {k: k for k in KEY}, policy=policy)
     new = F.coalesce(F.col("_boost").cast("double"), F.col("booster"))
     return rows.withColumn("booster", new).select(*wpcs.columns)
+
+
+def changed_rows(
+    wpcs: DataFrame, scores: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """The configurations whose booster a score changes; of them the key and the booster are read."""
+    fresh = one_score_per_key(accepted_scores(scores))
+    rows = lookup(wpcs, fresh, {k: k for k in KEY}, policy=policy)
+    return rows.where(~F.col("_boost").cast("double").eqNullSafe(F.col("booster")) & F.col("_boost").isNotNull()).drop("_boost")

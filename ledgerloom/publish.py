@@ -45,7 +45,7 @@ def publish_windows(
     path = dataset_path(out, name)
     written = refresh_partitions(rows, path, spec.partition_by, windows)
     if database is not None:
-        register(spark, f"{database}.{name}", path, rows.schema, spec.partition_by)
+        register(spark, f"{database}.{name}", path, rows.schema, spec.partition_by, windows)
     return written.select(F.lit(name).alias("name"), "*")
 
 

@@ -10,6 +10,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .staged import replace_folder
+
 COMPRESSION = "gzip"
 
 
@@ -47,9 +49,13 @@ def file_sizes(
 
 
 def write_snapshot(frame: DataFrame, path: str) -> DataFrame:
-    """Replace a data set and return its manifest row."""
+    """Replace a data set and return its manifest row.
+
+    The rows are written aside and counted before the old ones go, so a run that fails leaves the old
+    data set as it was; the frame may read the data set it replaces.
+    """
     started = time.monotonic()
-    frame.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+    replace_folder(frame, path, COMPRESSION)
     return manifest_row(frame.sparkSession, path, started)
 
 

@@ -6,15 +6,16 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.boost import boosted
+from ..plans.boost import boosted, changed_rows
 from ..plans.clicks import click_rows, unseen_clicks, unseen_clicks_by_bucket
 from ..schemas import table_schema
 from ..sources.objects import read_click_lines
 from .catalog import register
 from .parquet import COMPRESSION
+from .versions import rewrite_files
 
 
 def stored_clicks(spark: SparkSession, path: str) -> DataFrame:
@@ -126,3 +127,18 @@ def write_boosted(
     if table is not None:
         register(wpcs.sparkSession, table, path, rows.schema)
     return path
+
+
+def boost_files(spark: SparkSession, scores: DataFrame, path: str) -> Row:
+    """Write the scores into a versioned table of configurations: only files with a changed row are new.
+
+    Files are found by the key and the booster of their rows; the others become part of the new version as
+    they are. Scores that change nothing make no version. Returns the row of the current version.
+    """
+    return rewrite_files(
+        spark,
+        path,
+        table_schema("wpcs"),
+        lambda rows: changed_rows(rows, scores),
+        lambda rows: boosted(rows, scores),
+    )

@@ -86,6 +86,28 @@ def click_object_years(
     return files.select(F.year(_utc("modificationTime")).alias("year")).distinct()
 
 
+def literal_path(path: str) -> str:
+    """A path whose name holds no pattern for the reader."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def day_objects(
+    spark: SparkSession, base: str, today: date, days: int = DAYS, name_part: str = "clicks"
+) -> DataFrame:
+    """(path, key, size, modified, day) of the objects of the last day folders; contents are not read."""
+    files = _recent(spark, base, today, days, "binaryFile")
+    if files is None:
+        return spark.createDataFrame([], "path STRING, key STRING, size BIGINT, modified TIMESTAMP_NTZ, day STRING")
+    listed = files.select(
+        "path",
+        _object_key(base.rstrip("/") + "/").alias("key"),
+        F.col("length").alias("size"),
+        _utc("modificationTime").alias("modified"),
+    )
+    day = F.regexp_replace(F.substring("key", 1, len("YYYY/MM/DD")), "/", "-")
+    return listed.where(F.col("key").contains(name_part)).withColumn("day", day)
+
+
 def list_objects(spark: SparkSession, base: str, pattern: str = "*") -> DataFrame:
     """Path, modification time and size of the files under a prefix; contents are not read."""
     files = (

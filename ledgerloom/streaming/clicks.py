@@ -29,14 +29,19 @@ def stream_click_lines(
     today: date | None = None,
     days: int = DAYS,
     max_age: str = MAX_AGE,
+    folder: str | None = None,
 ) -> DataFrame:
     """Click lines of the objects below a base, as they appear.
 
-    With `today` only its day folder and those of the days before are listed, otherwise the whole base.
-    `max_age` is how far behind the newest file's modification time a new file may lie and still be
+    With `folder` only that day folder (YYYY/MM/DD) is listed: a path that stays, so one checkpoint a day
+    keeps it (see ledger.ingest_click_days). With `today` its day folder and those of the days before are
+    listed, otherwise the whole base. `max_age` is how far behind the newest file's modification time a new file may lie and still be
     read; the default is longer than any history, so an object that arrives late is never left out.
     """
-    path = base if today is None else f"{base.rstrip('/')}/{{{','.join(day_folders(today, days))}}}*"
+    if folder is not None:
+        path = f"{base.rstrip('/')}/{folder}*"
+    else:
+        path = base if today is None else f"{base.rstrip('/')}/{{{','.join(day_folders(today, days))}}}*"
     lines = (
         spark.readStream.option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
