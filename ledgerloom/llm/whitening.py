@@ -231,8 +231,10 @@ def directions(r: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.nda
     together, vectors are made orthogonal to each other and improved by steps of inverse iteration.
     """
     diagonal, beside, v = bidiagonal(r)
-    size = np.abs(np.concatenate([diagonal, beside])).max(initial=0)
-    cuts = np.flatnonzero(np.abs(beside) <= EPS * size) + 1
+    size = float(np.abs(np.concatenate([diagonal, beside])).max(initial=0)) or 1.0
+    # Entries of at most 1, so that squares neither overflow nor vanish.
+    diagonal, beside = diagonal / size, beside / size
+    cuts = np.flatnonzero(np.abs(beside) <= EPS) + 1
     pairs: list[tuple[float, int, int]] = []
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(diagonal)], strict=True):
         pairs += [(float(s), a, b) for s in dqds(diagonal[a:b], beside[a : b - 1])]
@@ -251,7 +253,7 @@ def directions(r: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.nda
     basis = v @ np.array(chosen).T if chosen else np.zeros((v.shape[0], 0))
     for j in range(basis.shape[1]):
         basis[:, j] *= np.sign(basis[np.argmax(np.abs(basis[:, j])), j]) / np.linalg.norm(basis[:, j])
-    return values, basis, values[:most] > least
+    return values * size * size, basis, values[:most] > least
 
 
 def _apart(diagonal: np.ndarray, beside: np.ndarray, z: np.ndarray, value: float, near: list[np.ndarray], seed: int) -> np.ndarray:
