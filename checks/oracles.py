@@ -623,5 +623,5 @@ ORACLES["clicks_from_ledger"] = _with(
 )
 ORACLES["stream_click_objects"] = ORACLES["clicks_from_ledger"]
 ORACLES["declared_names"] = _with(
-    ("addresses",), "select id, type_, organization_name from e_addresses"
+    ("purchase_orders",), "select id, type_, po_number, provider_id from e_purchase_orders"
 )

@@ -489,16 +489,17 @@ def booster_files(spark, folder):
     """Scores written into a versioned table by file, and a second time without effect."""
     work = work_folder(spark)
     wpcs, scores = Entities(spark, folder).frames("wpcs", "boost_scores")
-    write_full(wpcs.repartitionByRange(16, "ware_id"), f"{work}/wpcs")
+    rows = declared(wpcs, "wpcs")
+    write_full(rows.repartitionByRange(16, "ware_id"), f"{work}/wpcs")
     for _ in range(2):
         boost_files(spark, scores, f"{work}/wpcs")
-    return read_version(spark, f"{work}/wpcs", wpcs.schema)
+    return read_version(spark, f"{work}/wpcs", rows.schema)
 
 
 def declared_names(spark, folder):
-    """Addresses with the database's own column names, read under the declared ones."""
-    rows = Entities(spark, folder)["addresses"].withColumnRenamed("type_", "type")
-    return declared(rows, "addresses").select("id", "type_", "organization_name")
+    """Purchase orders with the database's own column names, read under the declared ones."""
+    rows = Entities(spark, folder)["purchase_orders"].withColumnRenamed("type_", "type")
+    return declared(rows, "purchase_orders").select("id", "type_", "po_number", "provider_id")
 
 
 def listing_by_prefix(spark, folder):

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..plans.boost import boosted, changed_rows
 from ..plans.clicks import click_rows, unseen_clicks, unseen_clicks_by_bucket
@@ -129,16 +130,19 @@ def write_boosted(
     return path
 
 
-def boost_files(spark: SparkSession, scores: DataFrame, path: str) -> Row:
+def boost_files(
+    spark: SparkSession, scores: DataFrame, path: str, schema: StructType | None = None
+) -> Row:
     """Write the scores into a versioned table of configurations: only files with a changed row are new.
 
     Files are found by the key and the booster of their rows; the others become part of the new version as
-    they are. Scores that change nothing make no version. Returns the row of the current version.
+    they are. Scores that change nothing make no version. `schema` is that of the table if it is not
+    the declared one. Returns the row of the current version.
     """
     return rewrite_files(
         spark,
         path,
-        table_schema("wpcs"),
+        schema or table_schema("wpcs"),
         lambda rows: changed_rows(rows, scores),
         lambda rows: boosted(rows, scores),
     )

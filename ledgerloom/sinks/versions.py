@@ -108,7 +108,7 @@ def rewrite_files(
     """A version in which only the files that hold touched rows are new; returns its row.
 
     `touched` picks the rows that change; only the columns it uses are read. `change` maps the rows of
-    whole files to as many rows. The other files are listed again as they are. Without a touched row
+    whole files to as many rows of the same columns. The other files are listed again as they are. Without a touched row
     the current version is returned.
     """
     parent, mark = current(spark, path), uuid.uuid4().hex
@@ -122,10 +122,10 @@ def rewrite_files(
     names = spark.createDataFrame([(f,) for f in changed], "file string")
     old = listed.join(names, "file", "left_semi")
     before = old.agg(F.sum("rows")).first()[0]
-    after = write_verified(change(_read(spark, schema, old)), f"{path}/files/{mark}", COMPRESSION)
+    fresh = change(_read(spark, schema, old)).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    after = write_verified(fresh, f"{path}/files/{mark}", COMPRESSION)
     if before != after:
         raise IncompleteWrite(f"{before} rows of {path} became {after}")
     kept = listed.join(names, "file", "left_anti")
-    fresh = _written(spark, f"{path}/files/{mark}")
-    kept.unionByName(fresh).coalesce(1).write.parquet(f"{path}/lists/{mark}")
+    kept.unionByName(_written(spark, f"{path}/files/{mark}")).coalesce(1).write.parquet(f"{path}/lists/{mark}")
     return _commit(spark, path, mark, parent)
