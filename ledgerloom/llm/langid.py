@@ -9,7 +9,7 @@ then fitted on sample texts kept out of the training. Prediction is one pass wit
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -79,6 +79,8 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float
+    #: Half the smallest score of a held-back row of the sample.
+    least: float = 0.0
 
     def dense(self) -> np.ndarray:
         full = np.zeros((len(self.labels), SIZE + 1), np.float32)
@@ -245,7 +247,8 @@ def train(labelled: DataFrame, size: int = SAMPLE) -> Model:
     held = [(k, weights[:, f] @ x + bias) for k, out, f, x in rows if out]
     temperature = calibrate(np.array([x for _, x in held]), np.array([k for k, _ in held], dtype=int))
     used = np.flatnonzero(np.abs(weights).sum(axis=0))
-    return Model(labels, used.astype(np.int32), (weights[:, used] * idf[used]).astype(np.float32), bias, temperature)
+    least = 0.5 * min((float(_softmax(x[None, :] / temperature).max()) for _, x in held), default=0.0)
+    return Model(labels, used.astype(np.int32), (weights[:, used] * idf[used]).astype(np.float32), bias, temperature, least)
 
 
 def fold() -> Column:
@@ -275,23 +278,29 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     return map_texts(marked, ["doc_id", "held_out", "text"], "text", schema, work=dict, setup=setup)
 
 
-def recognised(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """`docs` without the documents whose text has no recognisable language; no shuffle.
+def recognised(docs: DataFrame, model: Model | None = None, wanted: Sequence[str] | None = None, least: float | None = None) -> DataFrame:
+    """`docs` without the documents whose language is not recognised; no shuffle.
 
-    Where a model can be trained, a text is rejected if its prediction is `und` (null, or no letter).
-    Rows are judged by their own text, also where a doc_id repeats or is null.
+    A text is rejected if its prediction is `und` (null, or no letter), is not one of the `wanted` languages
+    (all learnt ones by default), or has a score below `least`. The default of `least` is half the smallest
+    score that the model gives to a held-back row of its sample, so texts in a learnt language stay.
+    Where no model can be trained all rows stay. Rows are judged by their own whole text, also where a
+    doc_id repeats or is null; other columns are handed on; an empty table stays empty.
     """
     model = model or train(docs.where(fold() != 2))
+    bound = model.least if least is None else least
+    allowed = frozenset(model.labels if wanted is None else wanted)
 
-    @F.pandas_udf("string")
-    def predicted(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("boolean")
+    def accepted(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         dense, is_letter = model.dense(), letters()
         for part in parts:
-            names: list[str] = []
+            kept: list[bool] = []
             for rows in slices(pa.RecordBatch.from_pydict({"text": pa.array(part, pa.string())}), "text"):
-                names += predict(model, dense, is_letter, rows["text"])[0]
-            yield pd.Series(names, dtype=object)
+                names, scores = predict(model, dense, is_letter, rows["text"])
+                kept += [name in allowed and score >= bound for name, score in zip(names, scores, strict=True)]
+            yield pd.Series(kept, dtype=bool)
 
     if not model.labels:
         return docs
-    return docs.where(predicted("text") != UNKNOWN)
+    return docs.where(accepted("text"))

@@ -154,9 +154,12 @@ def phrase_places(flat: bytes, phrases: tuple[tuple[bytes, str], ...]) -> list[t
     """(first word's number, label) of each place of a base phrase in the words joined by and within single spaces."""
     places = []
     for phrase, label in phrases:
-        at = flat.find(phrase)
+        at, seen, word = flat.find(phrase), 0, -1
         while at >= 0:
-            places.append((flat.count(b" ", 0, at + 1) - 1, label))
+            # Spaces are counted on from the place before, so all places cost one pass.
+            word += flat.count(b" ", seen, at + 1)
+            seen = at + 1
+            places.append((word, label))
             at = flat.find(phrase, at + 1)
     return places
 

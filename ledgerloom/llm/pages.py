@@ -16,7 +16,7 @@ from __future__ import annotations
 import html
 import random
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +31,9 @@ TREES, DEPTH, RATE, BINS = 60, 4, 0.3, 32
 
 # Element names by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template svg iframe title textarea select object".split())
+RAW = frozenset("script style noscript iframe title textarea".split())
+# Their contents are not text of the page either, but they end with the block around them.
+DROPPED = frozenset("template svg select object".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul caption button label".split()
@@ -84,46 +86,88 @@ def name_groups(tag: str, attributes: str) -> frozenset:
     return frozenset(found)
 
 
+class OpenElements:
+    """The stack of open elements as (name, block node, whether its text is dropped), and where each name is open."""
+
+    def __init__(self) -> None:
+        self.items: list[tuple[str, int, bool]] = [("html", 0, False)]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = [0]
+
+    @property
+    def node(self) -> int:
+        return self.items[-1][1]
+
+    @property
+    def dropped(self) -> bool:
+        return self.items[-1][2]
+
+    def push(self, tag: str, node: int, dropped: bool) -> None:
+        self.places.setdefault(tag, []).append(len(self.items))
+        if tag in BLOCKS:
+            self.blocks.append(len(self.items))
+        self.items.append((tag, node, dropped))
+
+    def last(self, tags: Iterable[str]) -> int:
+        """The place of the innermost open element of some names; 0 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def cut(self, k: int) -> list[tuple[str, int, bool]]:
+        """Close the elements from place k on, and return them."""
+        gone = self.items[k:]
+        for tag, *_ in gone:
+            self.places[tag].pop()
+        while self.blocks[-1] >= k:
+            self.blocks.pop()
+        del self.items[k:]
+        return gone
+
+
 def parse(source: str) -> Page:
-    """The block nodes of a page; end tags that are missing or stray are tolerated."""
+    """The block nodes of a page; end tags that are missing or stray are tolerated.
+
+    Raw text elements run to their end tag or to the end of the page. Other elements whose contents are
+    dropped end with the block around them at the latest, and a block inside an svg ends the svg. Time is
+    linear in the length: an end tag without an open element is known by the name's places.
+    """
     page = Page(["html"], [-1], [frozenset()], [0], [0], [])
-    stack: list[tuple[str, int]] = [("html", 0)]
+    stack = OpenElements()
     words: list[str] = []
     in_link = 0
     at, end = 0, len(source)
+    last_tag = source.rfind(">")
 
     def flush() -> None:
         if words:
             text = " ".join("".join(words).split())
             if text:
-                page.texts.append((stack[-1][1], text))
+                page.texts.append((stack.node, text))
             words.clear()
 
     def close(k: int) -> None:
         nonlocal in_link
-        if any(node != stack[k - 1][1] for _, node in stack[k:]):
+        under = stack.items[k - 1][1]
+        if any(node != under for _, node, _ in stack.items[k:]):
             flush()
-        in_link -= sum(tag == "a" for tag, _ in stack[k:])
-        del stack[k:]
+        in_link -= sum(tag == "a" for tag, *_ in stack.cut(k))
 
     while at < end:
-        m = PIECE.match(source, at)
-        at = m.end()
-        tag = m[2]
+        m = PIECE.match(source, at) if at <= last_tag else None
+        piece = m[0] if m else source[at:]
+        at += len(piece)
+        tag = m[2] if m else None
         if tag is None:
-            piece = m[0]
-            if piece[0] != "<" or piece == "<":
-                text = html.unescape(piece)
-                words.append(text)
-                if in_link:
-                    page.links[stack[-1][1]] += len(text.strip())
+            if not m or piece[0] != "<" or piece == "<":
+                if not stack.dropped:
+                    text = html.unescape(piece)
+                    words.append(text)
+                    if in_link:
+                        page.links[stack.node] += len(text.strip())
             continue
         tag = tag.lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
+            if k := stack.last((tag,)):
+                close(k)
             continue
         if tag in RAW:
             if not m[3].endswith("/"):
@@ -133,31 +177,41 @@ def parse(source: str) -> Page:
         if tag == "head" or tag == "html":
             continue
         if tag in VOID:
-            if tag == "br" or tag == "hr":
+            if (tag == "br" or tag == "hr") and not stack.dropped:
                 if tag == "hr":
                     flush()
                 words.append(" ")
             continue
+        if tag in DROPPED:
+            if not m[3].endswith("/"):
+                stack.push(tag, stack.node, True)
+            continue
+        if tag in BLOCKS and stack.dropped and (k := stack.last(("svg",))) > stack.blocks[-1]:
+            close(k)
         if tag in CLOSES_P or tag in SIBLING_CLOSES:
             shut = SIBLING_CLOSES.get(tag, ()) + (("p",) if tag in CLOSES_P else ())
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in shut:
-                    close(k)
-                    break
-                if stack[k][0] in SCOPE or (stack[k][0] in BLOCKS and stack[k][0] not in shut and "p" not in shut):
-                    break
-        if tag in BLOCKS:
+            if "p" in shut:
+                k, stop = stack.last(shut), stack.last(SCOPE)
+            else:
+                k, stop = stack.last(shut), 0
+                stop = stack.blocks[-1] if stack.blocks[-1] != k else 0
+            if k > stop:
+                close(k)
+        if stack.dropped:
+            stack.push(tag, stack.node, True)
+            in_link += tag == "a"
+        elif tag in BLOCKS:
             flush()
             page.tags.append(tag)
-            page.parents.append(stack[-1][1])
+            page.parents.append(stack.node)
             page.groups.append(name_groups(tag, m[3]))
             page.links.append(0)
             page.inline.append(0)
-            stack.append((tag, len(page.tags) - 1))
+            stack.push(tag, len(page.tags) - 1, False)
         else:
-            page.inline[stack[-1][1]] += 1
+            page.inline[stack.node] += 1
             in_link += tag == "a"
-            stack.append((tag, stack[-1][1]))
+            stack.push(tag, stack.node, False)
     flush()
     return page
 
@@ -329,6 +383,8 @@ INSERTS = (
     '<div class="footer"><p>{d}</p></div>',
 )
 OPENINGS = ('article', 'main', 'div class="content"', 'div id="main-content"', 'section class="post"', 'div class="entry-content"', 'main role="main"')
+# An article or main element, or a name of the `main` group.
+SAYS_WHERE = r"(?i)<(article|main)[\s>]|<[a-z]+\s[^>]*(class|id|role)\s*=\s*[\"']?[^\"'>]*(article|main|content|post|entry|story|maincontent|articlebody)"
 LAYOUT = re.compile(r"(?s)(<article\b[^>]*>)(.*)(</article>)")
 
 
@@ -364,10 +420,54 @@ def variants(source: str, rng: random.Random) -> list[str]:
     return out
 
 
-def train(pages: DataFrame, sample: int = SAMPLE) -> Forest | None:
-    """Boosted trees on at most `sample` pages with an article or main element, fixed by the hash of page_id; None without any."""
+# Page frames for tables in which no page says where its article is.
+CHROME = (
+    '<div class="menu"><a href="#">{a}</a> <a href="#">{b}</a> <a href="#">{c}</a></div>',
+    '<ul class="navigation"><li><a href="#">{b}</a></li><li><a href="#">{c}</a></li></ul>',
+    '<nav><a href="#">{a}</a> <a href="#">{c}</a></nav>',
+    '<div role="navigation"><a href="#">{a}</a> <a href="#">{b}</a></div>',
+    '<div role="contentinfo">{b}</div>',
+    '<div role="banner">{a}</div>',
+    '<div id="footer">{c}</div>',
+    '<footer><p>{b}</p></footer>',
+)
+PLAIN_OPENINGS = (*OPENINGS, "div", 'div role="main"', 'div id="content"', "section", 'div class="story-body"', "td")
+
+
+def built_in(rng: random.Random, many: int = 320) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Features and labels of invented pages: the frames and inserts above around plain paragraphs.
+
+    A page is labelled with its text in an article element and learnt with another element in its place.
+    """
+    words = [w for group in GROUPS.values() for w in group.split()] + [f"w{i}" for i in range(400)]
+
+    def some(most: int) -> str:
+        return " ".join(rng.choices(words, k=rng.randrange(1, most)))
+
+    x, y = [], []
+    for k in range(many):
+        parts = rng.sample(CHROME + INSERTS, 0 if k % 8 == 0 else rng.randrange(1, 6))
+        blocks = [b.format(a=some(5), b=some(4), c=some(4), d=some(80), e=some(40)) for b in parts]
+        cut = rng.randrange(len(blocks) + 1)
+        most = rng.choice((3, 20, 60))
+        tags = rng.choices(("p", "p", "p", "h2", "blockquote", "li", "div"), k=rng.randrange(1, 9))
+        body = (f"<h1>{some(8)}</h1>" if rng.random() < 0.6 else "") + "".join(f"<{t}>{some(most)}{rng.choice(('', '.', f', {some(20)}.'))}</{t}>" for t in tags)
+        if k % 8 == 4:
+            body = some(40)
+
+        def page(opening: str, before: list[str] = blocks[:cut], after: list[str] = blocks[cut:], inner: str = body) -> Page:
+            return parse(f"<body>{''.join(before)}<{opening}>{inner}</{opening.split()[0]}>{''.join(after)}</body>")
+
+        x.append(features(page(rng.choice(PLAIN_OPENINGS))))
+        y.append(weak_labels(page("article")))
+    return x, y
+
+
+def train(pages: DataFrame, sample: int = SAMPLE) -> Forest:
+    """Boosted trees on at most `sample` pages whose elements or names say where the article is, fixed by
+    the hash of page_id; on built-in layouts where no page does."""
     place = F.xxhash64("page_id", "html")
-    able = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]")).select("html", place.alias("place"))
+    able = pages.where(F.col("html").rlike(SAYS_WHERE)).select("html", place.alias("place"))
     fit = thinned(able, able.count(), sample, "place").orderBy("place", "html").limit(sample)
     rng = random.Random(11)
     x, y = [], []
@@ -380,15 +480,19 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> Forest | None:
             if k == 0:
                 x.append(features(page, names=False))
                 y.append(label)
-    return boost(np.concatenate(x), np.concatenate(y)) if x else None
+    if not x or not np.concatenate(y)[np.concatenate([np.arange(len(v)) for v in y]) > 0].any():
+        x, y = built_in(rng)
+    return boost(np.concatenate(x), np.concatenate(y))
 
 
 def extract(pages: DataFrame, forest: Forest | None = None) -> DataFrame:
     """Per page: page_id, url, text (blocks joined by a blank line; empty if none), n_chars (code points).
 
-    A null or empty html, or one without text, gives an empty text. If no page has an element to learn
-    from and no `forest` is given, nothing can be told apart and all blocks are kept. Rows that repeat a
-    page_id are pages of their own; url may be null.
+    A null or empty html, or one without text, gives an empty text. If no page of the table says where its
+    article is and no `forest` is given, the trees learn from built-in layouts. Text directly in the body
+    is kept. Very long pages are read whole, in time linear in their length. Rows that repeat a page_id are
+    pages of their own, equal ones with equal texts; url may be null; an empty table gives no rows; only
+    page_id, url and html are read, so other columns cannot clash.
     """
     forest = forest or train(pages)
 
@@ -396,7 +500,7 @@ def extract(pages: DataFrame, forest: Forest | None = None) -> DataFrame:
         parsed = [parse(x) if x else None for x in rows["html"]]
         full = [p for p in parsed if p is not None]
         sizes = np.cumsum([0] + [len(p.tags) for p in full])
-        if forest is None or not full:
+        if not full:
             odds = np.ones(sizes[-1])
         else:
             odds = forest.log_odds(np.concatenate([features(p) for p in full]))

@@ -110,11 +110,18 @@ class Model:
 
 
 def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """Counts over at most `sample` rows of whole conversations (fixed by the hash of conv_id); null roles are left out."""
+    """Counts over at most `sample` rows of conversations in the order of their hash; null roles are left out.
+
+    All conversations but the last are whole, and there are rows wherever a labelled row exists.
+    """
     place = F.xxhash64("conv_id")
     chosen = labelled.where("role is not null and conv_id is not null").select("conv_id", "turn", "role", "text")
-    # Half as many rows again as wanted are let through; the limit takes whole conversations in hash order.
-    few = thinned(chosen.withColumn("place", place), chosen.count(), sample, "place")
+    # Conversations in the order of their hash until they hold enough rows; the limit cuts the last one.
+    sizes = chosen.groupBy("conv_id").agg(F.count("*").alias("n")).withColumn("place", place)
+    first = sizes.orderBy("place", "conv_id").limit(sample).collect()
+    before = np.cumsum([0] + [r.n for r in first])
+    last = max((r.place for r, seen in zip(first, before.tolist(), strict=False) if seen < sample), default=0)
+    few = chosen.withColumn("place", place).where(F.col("place") <= last)
     rows = few.orderBy("place", "conv_id", F.col("turn").asc_nulls_last(), F.xxhash64("text")).limit(sample)
 
     def work(batch: dict[str, list]) -> dict[str, list]:
