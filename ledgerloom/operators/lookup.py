@@ -4,7 +4,8 @@ A foreign key may be hot: a third of the parents can point at the same child, or
 broadcasts the child when its planned size is under the session's threshold, and then no key can be
 hot. Above the threshold the lookup is salted:
 
-* hot keys are found by counting the key column alone (partial aggregates, a narrow shuffle);
+* hot keys are found by counting the key column alone (partial aggregates, a narrow shuffle), or, for
+  several foreign keys of one parent, by a mergeable sketch of each key in one aggregate;
 * the rows of a hot key are spread over as many salts as it has multiples of `hot_rows`, by a hash of
   the parent's own identity, which gives the same salt when a lost task is run again;
 * only the child rows of hot keys are repeated, once per salt, so no more than
@@ -28,6 +29,9 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 MAX_SALT = (1 << 31) - 1
 MAX_HOT = 100_000
+#: Most frequent keys that a sketch reports, and keys that it tracks. A key is sure to be reported if it
+#: has over 4 / TRACKED of the rows; one that is missed is joined unsalted, with the same result.
+SKETCHED, TRACKED = 10_000, 65_536
 
 
 @dataclass(frozen=True)
@@ -76,11 +80,13 @@ def lookup(
     spread_by: Sequence[str] = ("id",),
     policy: SkewPolicy = DEFAULT_POLICY,
     key_source: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join each parent row to the child row of its key; child keys are dropped from the result.
 
     The child holds one row per key for left and inner joins. `key_source` may give a cheaper frame
-    to count keys on than the parent's own plan; it needs the parent key columns only.
+    to count keys on than the parent's own plan; it needs the parent key columns only. With `hot`, a
+    frame as `hot_keys` returns it, nothing is counted.
     """
     spark = parent.sparkSession
     keys = {parent_key: f"_key_{i}" for i, parent_key in enumerate(on)}
@@ -88,9 +94,10 @@ def lookup(
     if is_small(child, policy):
         return parent.join(child, _equal(keys), how).drop(*keys.values())
 
-    source = parent if key_source is None else key_source
     named = {k: f"_hot_{i}" for i, k in enumerate(on)}
-    hot = hot_keys(source, list(on), policy.hot_limit(spark)).withColumnsRenamed(named)
+    if hot is None:
+        hot = hot_keys(parent if key_source is None else key_source, list(on), policy.hot_limit(spark))
+    hot = hot.withColumnsRenamed(named)
     own = F.xxhash64(*spread_by)
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
     place = (
@@ -142,8 +149,12 @@ def lookups(
     foreign = list(dict.fromkeys(k for item in large for k in item.on))
     # One row per key and foreign keys: a repeated key must find what each of its rows points at, once.
     found = key_source.select(key, *foreign).distinct()
+    # All keys are sketched on these rows, so the parent is not read again for it.
+    single = [k for item in large if len(item.on) == 1 for k in item.on]
+    hot = sketched_hot_keys(found, single, policy.hot_limit(found.sparkSession)) if len(single) > 1 else {}
     for item in large:
-        found = lookup(found, item.child, item.on, "left", (key,), policy, key_source)
+        known = hot.get(next(iter(item.on))) if len(item.on) == 1 else None
+        found = lookup(found, item.child, item.on, "left", (key,), policy, key_source, known)
     named = {key: "_found_for", **{k: f"_found_{k}" for k in foreign}}
     found = found.withColumnsRenamed(named)
     # The key alone deals out the rows; the foreign keys are compared as a residual, nulls as equal.
@@ -164,6 +175,23 @@ def hot_keys(source: DataFrame, keys: Sequence[str], at_least: int) -> DataFrame
     return largest.select(*keys, salts.alias("_salts"))
 
 
+def sketched_hot_keys(source: DataFrame, keys: Sequence[str], at_least: int) -> dict[str, DataFrame]:
+    """`hot_keys` of several key columns from one pass: a frame for each column.
+
+    Every column has a heavy-hitter sketch of bounded size; sketches are merged on the way to one row. The
+    counts are estimates: they decide how far a key is spread, never what it is joined to.
+    """
+    kinds = dict(source.dtypes)
+    text = "array<struct<item: string, count: bigint>>"
+    sketches = source.agg(*[F.expr(f"approx_top_k(`{k}`, {SKETCHED}, {TRACKED})").cast(text).alias(k) for k in keys])
+    # One array of all of them: no column can be pruned, so every frame below is the same aggregate.
+    every = sketches.select(F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("top")) for k in keys])).alias("of"))
+    rows = every.select("of.key", F.explode("of.top").alias("top")).select("key", "top.*")
+    salts = F.ceil(F.col("count") / at_least).cast("int").alias("_salts")
+    frequent = rows.where(F.col("item").isNotNull() & (F.col("count") >= at_least))
+    return {k: frequent.where(F.col("key") == k).select(F.col("item").cast(kinds[k]).alias(k), salts) for k in keys}
+
+
 def _flag_hot(frame: DataFrame, hot: DataFrame, keys: Iterable[str]) -> DataFrame:
     """The frame with `_salts` of its key, null where the key is not hot.
 
