@@ -625,3 +625,8 @@ ORACLES["stream_click_objects"] = ORACLES["clicks_from_ledger"]
 ORACLES["declared_names"] = _with(
     ("purchase_orders",), "select id, type_, po_number, provider_id from e_purchase_orders"
 )
+ORACLES["page_all"] = _with(
+    ("wares",),
+    """select id, name, page, count(*) over (partition by page) as page_rows
+       from (select id, name, (row_number() over (order by id) - 1) // 100 as page from e_wares)""",
+)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from datetime import date
 
@@ -12,12 +11,13 @@ from pyspark.sql.types import StructType
 
 from ledgerloom.functions import calendar
 from ledgerloom.operators.lookup import keep_related
-from ledgerloom.operators.paging import page_after, page_at
+from ledgerloom.operators.paging import page_after, page_at, paged
 from ledgerloom.operators.reduce import pick_rows
 from ledgerloom.plans import boost, clicks, events, invoices, orders, proposals, purchase_orders
 from ledgerloom.plans.ratings import rating_report
 from ledgerloom.plans.snapshots import SNAPSHOTS, address_lines, grouped_inventories, snapshot
 from ledgerloom.schemas import BOOST_SCORES
+from ledgerloom.session import work_folder
 from ledgerloom.sinks.catalog import register
 from ledgerloom.sinks.parquet import dataset_path, refresh_partitions, row_count, write_snapshot
 from ledgerloom.sinks.upsert import (
@@ -44,17 +44,6 @@ WEEKS_TODAY = date(2024, 1, 30)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A new folder for written outputs, in the shared folder of the cluster when it names one."""
-    shared = spark.conf.get("spark.checkpoint.dir", "")
-    if not shared:
-        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        return tempfile.mkdtemp(prefix="ledgerloom-")
-    unique = spark.sql("select uuid() as u").first()["u"]
-    return f"{shared.rstrip('/')}/ledgerloom-{unique}"
-
-
 def _po_inputs(e: Entities) -> list[DataFrame]:
     return e.frames(
         "purchase_orders", "currencies", "shippings", "taxes", "providers", "action_items"
@@ -289,6 +278,12 @@ def page_offset(spark, folder):
     return page_at(Entities(spark, folder)["wares"], "id", 1)
 
 
+def page_all(spark, folder):
+    """Every ware with the number and the size of its page."""
+    wares = Entities(spark, folder)["wares"]
+    return paged(wares, "id", f"{work_folder(spark)}/keys").select("id", "name", "page", "page_rows")
+
+
 def semi_reduced_children(spark, folder):
     """Currencies of proposals that exist."""
     e = Entities(spark, folder)
@@ -562,6 +557,7 @@ QUERIES: dict[str, Query] = {
     "booster_writeback": booster_writeback,
     "page_keyset": page_keyset,
     "page_offset": page_offset,
+    "page_all": page_all,
     "semi_reduced_children": semi_reduced_children,
     "last_wins": last_wins,
     "first_wins": first_wins,

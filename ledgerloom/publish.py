@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .operators.lookup import planned_bytes
 from .plans.catalogue import OUTPUTS, WINDOWED, build
-from .session import widen_shuffles
+from .session import widened_shuffles
 from .sinks.catalog import register
 from .sinks.parquet import dataset_path, manifest_row, refresh_partitions, write_snapshot
 from .sinks.upsert import ingest_recent_clicks, write_boosted
@@ -23,9 +23,10 @@ def publish(
     spark: SparkSession, name: str, base: str, out: str, database: str | None = None
 ) -> DataFrame:
     """Refresh one full output; returns its manifest row. With a `database` it is registered there."""
-    widen_shuffles(spark, sum(planned_bytes(read_table(spark, base, t)) for t in OUTPUTS[name].tables))
-    frame, path = build(spark, name, base), dataset_path(out, name)
-    written = write_snapshot(frame, path)
+    path, read = dataset_path(out, name), [read_table(spark, base, t) for t in OUTPUTS[name].tables]
+    with widened_shuffles(spark, sum(map(planned_bytes, read))):
+        frame = build(spark, name, base)
+        written = write_snapshot(frame, path)
     if database is not None:
         register(spark, f"{database}.{name}", path, frame.schema)
     return written.select(F.lit(name).alias("name"), "*")
@@ -40,10 +41,10 @@ def publish_windows(
     """
     spec = WINDOWED[name]
     source = read_table(spark, base, spec.table)
-    widen_shuffles(spark, planned_bytes(source))
-    rows, windows = spec.plan(spark, source, today)
     path = dataset_path(out, name)
-    written = refresh_partitions(rows, path, spec.partition_by, windows)
+    with widened_shuffles(spark, planned_bytes(source)):
+        rows, windows = spec.plan(spark, source, today)
+        written = refresh_partitions(rows, path, spec.partition_by, windows)
     if database is not None:
         register(spark, f"{database}.{name}", path, rows.schema, spec.partition_by, windows)
     return written.select(F.lit(name).alias("name"), "*")
@@ -62,10 +63,10 @@ def publish_boosted(
     With a `database` the table `wpcs` there is pointed at the new version.
     """
     wpcs = read_table(spark, base, "wpcs")
-    widen_shuffles(spark, planned_bytes(wpcs))
     table = None if database is None else f"{database}.wpcs"
     started = time.monotonic()
-    path = write_boosted(wpcs, scores, dataset_path(out, "wpcs"), version, table)
+    with widened_shuffles(spark, planned_bytes(wpcs)):
+        path = write_boosted(wpcs, scores, dataset_path(out, "wpcs"), version, table)
     return manifest_row(spark, path, started).select(F.lit("wpcs").alias("name"), "*")
 
 

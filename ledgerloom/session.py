@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Runtime settings that affect results or plan quality. Sizes are left to the cluster, except the
@@ -36,11 +41,32 @@ def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSes
     return spark
 
 
-def widen_shuffles(spark: SparkSession, input_bytes: int) -> None:
-    """Start shuffles at the advisory size for an input of so many bytes; never at fewer than set."""
-    wanted = -(-input_bytes // ADVISORY_BYTES)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+#: Shuffle partitions at most: beyond it the driver's bookkeeping costs more than larger partitions do.
+MOST_PARTITIONS = 20_000
+
+
+@contextmanager
+def widened_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Inside, shuffles start at the advisory size for an input of so many bytes: never at fewer partitions
+    than set, and at MOST_PARTITIONS at most. The setting is put back afterwards."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    wanted = min(-(-input_bytes // ADVISORY_BYTES), MOST_PARTITIONS)
+    if wanted > int(before):
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def work_folder(spark: SparkSession, name: str = "ledgerloom") -> str:
+    """A new folder below the cluster's shared one; only a local master may go without `spark.checkpoint.dir`."""
+    shared = spark.conf.get("spark.checkpoint.dir", "")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        return tempfile.mkdtemp(prefix=f"{name}-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import lookup as lookups_module
 from ledgerloom.operators.lookup import Lookup, SkewPolicy, hot_keys, lookups, sketched_hot_keys
+from ledgerloom.operators.paging import page_index, page_of, pages
 from ledgerloom.plans import purchase_orders
+from ledgerloom.session import widened_shuffles
 
 SALTED = SkewPolicy(broadcast_bytes=-1, hot_rows=20)
 
@@ -63,3 +65,29 @@ def test_orders_are_read_three_times_at_most(spark, table, tmp_path, capsys):
     reads = [line for line in plan.splitlines() if "FileScan" in line and f"{tmp_path}/purchase_orders" in line]
     assert len(reads) <= 3 and plan.count("ReusedExchange") >= 5
     assert "approx_top_k" in plan
+
+
+def test_page_index_over_many_partitions(spark, tmp_path, capsys):
+    spark.range(1037).select((F.col("id") * 3 + 5).alias("k"), F.lit("x").alias("v")).repartition(9).write.parquet(f"{tmp_path}/t")
+    frame = spark.read.parquet(f"{tmp_path}/t")
+    index = page_index(frame, "k", f"{tmp_path}/keys", 100)
+    found = sorted(tuple(r) for r in index.collect())
+    assert found == [(p, p * 300 + 5, min(p * 300 + 302, 3113), 100 if p < 10 else 37) for p in range(11)]
+    # One sort of the keys: the index reads what was written, and nothing else is sorted by the key.
+    assert spark.read.parquet(f"{tmp_path}/keys").columns == ["key", "part", "place"]
+    page_of(frame, "k", index.where("page = 3").first()).explain()
+    assert "PushedFilters: [IsNotNull(k), GreaterThanOrEqual(k,905), LessThanOrEqual(k,1202)]" in capsys.readouterr().out
+    got = [[r.k for r in p.collect()] for p in pages(frame, "k", 100, f"{tmp_path}/again")]
+    assert [k for p in got for k in p] == [i * 3 + 5 for i in range(1037)] and len(got) == 11
+    assert list(pages(frame.limit(0), "k", 100, f"{tmp_path}/none")) == []
+
+
+def test_shuffle_width_is_bounded_and_put_back(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), widened_shuffles(spark, 100 << 40):
+        assert spark.conf.get(key) == "20000"
+        1 / 0
+    with widened_shuffles(spark, 1):
+        assert spark.conf.get(key) == before
+    assert spark.conf.get(key) == before
