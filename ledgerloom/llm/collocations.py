@@ -32,9 +32,9 @@ from ledgerloom.llm.common import checkpointed, slices
 
 LONGEST, LEAST, TOP = 4, 30, 2000
 #: Words of one index; a text is cut into shards between its pieces only.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 4_000_000
 #: Words that a task holds for all languages together before it builds the largest one's index.
-HELD_WORDS = 3_000_000
+HELD_WORDS = 5_000_000
 #: Words whose extensions are enumerated at a time.
 LANES = 40_000
 # A-Z lower-cased, and every separator of pieces as a point.
