@@ -7,8 +7,9 @@
    hash and a count; hashes whose counts sum to less than the least frequency hold no frequent bigram.
 3. Each shard gets the hashes it holds that are left, and extends their bigrams: to the left for trigrams,
    then to the right for four words, as long as every bigram inside is left. An interval is kept in both
-   transforms, so either side can be extended. Phrases leave as text with their counts, and the counts are
-   summed over shards: hashes only spare work, the sums are exact.
+   transforms, so either side can be extended. Phrases leave as text with their counts, trigrams with the
+   words that follow them, and the counts are summed over shards: hashes only spare work, the sums are
+   exact. The words that follow are looked at for frequent trigrams only.
 4. Cuts, extensions and ranks are joins and aggregates over the frequent phrases. If any longer candidate
    holds a phrase and is nearly as frequent, so is the one between them that is one word longer; so the
    largest left and right extension decide.
@@ -267,42 +268,56 @@ def pair_hashes(indexes: DataFrame) -> DataFrame:
     return indexes.select("shard", "lang", "vocabulary", "counts", "zeros", "bits").mapInArrow(work, "hash long, shard long, n int")
 
 
-def _phrases(row: dict, wanted: np.ndarray, longest: int) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(words, phrase, count) of a shard's phrases of two words or more all of whose bigrams have a wanted hash."""
+# A phrase of a shard; with three words (the longest less one) also the words that follow it, with their counts.
+FOLLOWERS = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))
+GROWN = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64()), ("followers", FOLLOWERS)])
+GROWN_SQL = "lang string, phrase string, words int, n long, followers array<struct<word: string, n: int>>"
+
+
+def _phrases(row: dict, wanted: np.ndarray, longest: int) -> Iterator[tuple[int, pa.Array, np.ndarray, pa.Array | None]]:
+    """(words, phrase, count, followers) of a shard's phrases all of whose bigrams have a wanted hash.
+
+    The longest phrases are followers of those that are a word shorter: they leave the shard as parts of
+    these, and are looked at only where the shorter phrase is frequent.
+    """
     index, codes = _opened(row)
     vocabulary = pc.cast(row["vocabulary"].values, pa.string())
     found = [(a[k], b[k], tuple(x[k] for x in interval)) for a, b, interval in _bigrams(index) if len(k := np.flatnonzero(np.isin(_pair_hash(codes, a, b), wanted)))]
     if not found:
         return
-    a, b = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    symbols = [np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])]
     interval = tuple(np.concatenate([f[2][j] for f in found]) for j in range(3))
     size = len(codes)
-    pairs = np.sort(a * size + b)
-
-    def known(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = left * size + right
-        return np.flatnonzero(pairs[np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)] == key)
-
-    def phrase(symbols: list[np.ndarray]) -> pa.Array:
-        return pc.binary_join_element_wise(*[vocabulary.take(pa.array(s - 1)) for s in symbols], " ")
+    pairs = np.sort(symbols[0] * size + symbols[1])
 
-    symbols = [a, b]
-    yield 2, phrase(symbols), interval[2]
-    for length in range(3, longest + 1):
-        to_right = length % 2 == 0
+    def grown(to_right: bool) -> tuple[np.ndarray, np.ndarray, tuple]:
+        """Extensions that make a wanted bigram: (number of the phrase, word, interval)."""
         parts: list[tuple] = []
         for at in range(0, len(interval[0]), LANES):
-            own = tuple(x[at : at + LANES] for x in interval)
-            owner, word, longer = index.extend(own, to_right)
+            owner, word, longer = index.extend(tuple(x[at : at + LANES] for x in interval), to_right)
             owner += at
-            k = known(symbols[-1][owner], word) if to_right else known(word, symbols[0][owner])
-            old = [s[owner[k]] for s in symbols]
-            parts.append(([*old, word[k]] if to_right else [word[k], *old], tuple(x[k] for x in longer)))
-        symbols = [np.concatenate([p[0][j] for p in parts]) for j in range(length)]
-        interval = tuple(np.concatenate([p[1][j] for p in parts]) for j in range(3))
+            key = symbols[-1][owner] * size + word if to_right else word * size + symbols[0][owner]
+            k = np.flatnonzero(pairs[np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)] == key)
+            parts.append((owner[k], word[k], *(x[k] for x in longer)))
+        owner, word, *longer = [np.concatenate([p[j] for p in parts]) for j in range(5)]
+        return owner, word, tuple(longer)
+
+    for length in range(2, longest):
+        phrase = pc.binary_join_element_wise(*[vocabulary.take(pa.array(s - 1)) for s in symbols], " ")
+        to_right = length % 2 == 1
+        if length < longest - 1:
+            yield length, phrase, interval[2], None
+            owner, word, longer = grown(to_right)
+            old = [s[owner] for s in symbols]
+            symbols, interval = [*old, word] if to_right else [word, *old], longer
+        else:
+            owner, word, longer = grown(True)
+            order = np.argsort(owner, kind="stable")
+            items = pa.StructArray.from_arrays([vocabulary.take(pa.array(word[order] - 1)), pa.array(longer[2][order].astype(np.int32))], ["word", "n"])
+            starts = np.searchsorted(owner[order], np.arange(len(interval[0]) + 1)).astype(np.int32)
+            yield length, phrase, interval[2], pa.ListArray.from_arrays(pa.array(starts), items)
         if not len(interval[0]):
             return
-        yield length, phrase(symbols), interval[2]
 
 
 def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -315,25 +330,33 @@ def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard_
     total = F.sum("n").over(Window.partitionBy("hash"))
     left = hashed.withColumn("total", total).where(F.col("total") >= least).select("shard", "hash")
 
-    def grow(key: tuple, index: pa.Table, wanted: pa.Table) -> Iterator[pa.RecordBatch]:
+    def whole(key: tuple, index: pa.Table, wanted: pa.Table) -> pa.Table:
         hashes = np.unique(wanted.column("hash").to_numpy())
         if not index.num_rows or not len(hashes):
-            return
+            return GROWN.empty_table()
         row = {n: index.column(n)[0] for n in index.column_names}
-        for words, phrase, n in _phrases(row, hashes, longest):
+        made = []
+        for words, phrase, n, followers in _phrases(row, hashes, max(longest, 3)):
             lang = pa.array([row["lang"].as_py()]).take(pa.array(np.zeros(len(n), np.int32)))
-            yield pa.RecordBatch.from_arrays([lang, phrase, pa.array(np.full(len(n), words, np.int32)), pa.array(n.astype(np.int64))], ["lang", "phrase", "words", "n"])
-
-    def whole(key: tuple, index: pa.Table, wanted: pa.Table) -> pa.Table:
-        made = list(grow(key, index, wanted))
-        return pa.Table.from_batches(made) if made else pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())]).empty_table()
-
-    grown = indexes.drop("n_words").groupBy("shard").cogroup(left.groupBy("shard")).applyInArrow(whole, "lang string, phrase string, words int, n long")
+            more = pa.nulls(len(n), FOLLOWERS) if followers is None else followers.cast(FOLLOWERS)
+            made.append(pa.Table.from_arrays([lang, phrase, pa.array(np.full(len(n), words, np.int32)), pa.array(n.astype(np.int64)), more], schema=GROWN))
+        return pa.concat_tables(made) if made else GROWN.empty_table()
+
+    grown = indexes.drop("n_words").groupBy("shard").cogroup(left.groupBy("shard")).applyInArrow(whole, GROWN_SQL)
+    # A frequent phrase leaves one row, and a row per shard with the words that follow it there.
+    place = Window.partitionBy("lang", "phrase").orderBy("n")
+    f = F.sum("n").over(place.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    counted = grown.withColumns({"f": f, "place": F.row_number().over(place)})
+    held = checkpointed(counted.where((F.col("f") >= least) & ((F.col("place") == 1) | (F.size("followers") > 0))))
+    shorter = held.where("place = 1").select("lang", "phrase", "words", "f")
+    follower = held.select("lang", "phrase", "words", F.explode("followers").alias("next"))
+    last = follower.select("lang", F.concat_ws(" ", "phrase", "next.word").alias("phrase"), (F.col("words") + 1).alias("words"), F.col("next.n").cast("long").alias("n"))
     # Zipped before they are exploded: a row must not carry the other array.
     own = F.expr("explode(arrays_zip(vocabulary, slice(counts, 2, size(vocabulary))))").alias("word")
     single = indexes.select("lang", own).select("lang", F.col("word.vocabulary").cast("string").alias("phrase"), F.lit(1).alias("words"), F.col("word.1").cast("long").alias("n"))
-    sums = grown.unionByName(single).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return checkpointed(sums), indexes.groupBy("lang").agg(F.sum("n_words").alias("n"))
+    sums = last.unionByName(single).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    phrases = shorter.unionByName(sums).where(F.col("words") <= longest)
+    return checkpointed(phrases), indexes.groupBy("lang").agg(F.sum("n_words").alias("n"))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> DataFrame:
