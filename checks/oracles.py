@@ -630,3 +630,66 @@ ORACLES["page_all"] = _with(
     """select id, name, page, count(*) over (partition by page) as page_rows
        from (select id, name, (row_number() over (order by id) - 1) // 100 as page from e_wares)""",
 )
+
+
+# Contracts: rows that lack a column where their id is a multiple of a number, and why they are rejected.
+def _lacks(column: str, number: int, reason: str | None = None, table: str = "t") -> str:
+    return f"case when {table}.id % {number} = 0 or {table}.{column} is null then '{reason or f'{column} is null'}' end"
+
+
+_CURRENCY_RULES = f"""case when cur.id is not null then {_lacks("conversion_rate", 5, "currency without rate", "cur")} end,
+           case when cur.id is not null then {_lacks("currency", 7, "currency without code", "cur")} end"""
+
+
+def _rejects(cases: str, source: str) -> str:
+    return f"select * from (select t.id, concat_ws('; ', {cases}) as reasons from {source}) r where reasons <> ''"
+
+
+ORACLES["broken_purchase_orders"] = _with(
+    ("purchase_orders", "currencies", "shippings"),
+    _rejects(
+        f"""case when ship.id is null then 'no shipping row' end, {_CURRENCY_RULES},
+           {_lacks("uuid", 11)}, {_lacks("rejected", 13)}, {_lacks("obsoleted", 17)}""",
+        """e_purchase_orders t left join cur on cur.exchangable_id = t.id
+           left join ship on ship.shipable_id = t.id
+           where t.type_ in ('Pg::CustomerPurchaseOrder', 'Pg::PurchaseOrder')
+             and t.po_number is not null and t.po_created_at is not null""",
+    ),
+    _PO_CHILDREN[1],
+    _PO_CHILDREN[2],
+)
+ORACLES["broken_proposals"] = _with(
+    ("proposals", "currencies"),
+    _rejects(
+        f"""{_CURRENCY_RULES}, {_lacks("justifications", 11)}, {_lacks("uuid", 13)}""",
+        """e_proposals t left join cur on cur.exchangable_id = t.id
+           where t.active and t.order_id is not null""",
+    ),
+    _ranked("cur", "e_currencies", "exchangable_id", "exchangable_type = 'Pg::ProposalBase'", "desc"),
+)
+ORACLES["broken_orders"] = _with(
+    ("orders",), _rejects(f"""{_lacks("request_id", 3)}, {_lacks("booster", 5)}""", "e_orders t")
+)
+ORACLES["broken_invoices"] = _with(
+    ("invoices", "currencies", "shippings"),
+    _rejects(
+        f"""case when cur.id is null then 'no currency row' end,
+           case when ship.id is null then 'no shipping row' end, {_lacks("uuid", 11)}""",
+        """e_invoices t left join (select * from cur where exchangable_id % 6 <> 0) cur on cur.exchangable_id = t.id
+           left join ship on ship.shipable_id = t.id""",
+    ),
+    *_INVOICE_CHILDREN,
+)
+ORACLES["po_retail_exact"] = _with(
+    ("purchase_orders", "milestones", "shippings"),
+    """select po.id, coalesce(m.price, 0)::decimal(36, 21)::varchar as retail_subtotal_price,
+              coalesce(m.tax, 0)::decimal(36, 21)::varchar as retail_tax_amount,
+              (coalesce(m.price, 0)::decimal(36, 21) + coalesce(m.tax, 0)::decimal(36, 21)
+               + coalesce(ship.cost, 0)::decimal(36, 21))::decimal(36, 21)::varchar as retail_total_price
+       from e_purchase_orders po
+       left join (select itemizable_id, sum(total_price) as price,
+                         sum(total_price * tax_rate * 0.01) as tax
+                  from e_milestones group by itemizable_id) m on m.itemizable_id = po.id
+       left join ship on ship.shipable_id = po.id""",
+    _PO_CHILDREN[2],
+)

@@ -77,6 +77,53 @@ def po_retail_totals(spark, folder):
     return totals.select("id", *[F.round(F.col(c).cast("double"), 8).alias(c) for c in prices])
 
 
+def po_retail_exact(spark, folder):
+    """The exact decimals of the totals, as text."""
+    e = Entities(spark, folder)
+    totals = purchase_orders.retail_totals(
+        *e.frames("purchase_orders", "milestones", "shippings", "currencies")
+    )
+    exact = ("retail_subtotal_price", "retail_tax_amount", "retail_total_price")
+    return totals.select("id", *[F.col(c).cast("string").alias(c) for c in exact])
+
+
+def _without(frame: DataFrame, **columns: int) -> DataFrame:
+    """A frame whose rows lack a column where their id is a multiple of the column's number."""
+    lost = {c: F.when(F.col("id") % n != 0, F.col(c)) for c, n in columns.items()}
+    return frame.withColumns(lost)
+
+
+def _broken_currencies(e: Entities) -> DataFrame:
+    return _without(e["currencies"], conversion_rate=5, currency=7)
+
+
+def broken_purchase_orders(spark, folder):
+    """Every rule of purchase orders broken by some rows."""
+    e = Entities(spark, folder)
+    po, _, *rest = _po_inputs(e)
+    po = _without(po, uuid=11, rejected=13, obsoleted=17)
+    return purchase_orders.purchase_order_report(po, _broken_currencies(e), *rest, contract="rejects")
+
+
+def broken_proposals(spark, folder):
+    e = Entities(spark, folder)
+    rows, _, *rest = e.frames("proposals", "currencies", "turn_around_times", "taxes", "providers")
+    rows = _without(rows, justifications=11, uuid=13)
+    return proposals.proposal_report(rows, _broken_currencies(e), *rest, contract="rejects")
+
+
+def broken_orders(spark, folder):
+    rows, *rest = Entities(spark, folder).frames("orders", "providers", "requests", "users", "timepoints")
+    return orders.order_report(_without(rows, request_id=3, booster=5), *rest, contract="rejects")
+
+
+def broken_invoices(spark, folder):
+    e = Entities(spark, folder)
+    rows = _without(e["invoices"], uuid=11)
+    currencies = e["currencies"].where(F.col("exchangable_id") % 6 != 0)
+    return invoices.invoice_report(rows, currencies, e["shippings"], contract="rejects")
+
+
 def proposal_report(spark, folder):
     return proposals.proposal_report(
         *Entities(spark, folder).frames(
@@ -515,6 +562,11 @@ QUERIES: dict[str, Query] = {
     "po_report": po_report,
     "po_retail_totals": po_retail_totals,
     "contract_rejects": contract_rejects,
+    "po_retail_exact": po_retail_exact,
+    "broken_purchase_orders": broken_purchase_orders,
+    "broken_proposals": broken_proposals,
+    "broken_orders": broken_orders,
+    "broken_invoices": broken_invoices,
     "proposal_report": proposal_report,
     "tat_adjusted": tat_adjusted,
     "order_report": order_report,
