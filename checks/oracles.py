@@ -693,3 +693,4 @@ ORACLES["po_retail_exact"] = _with(
        left join ship on ship.shipable_id = po.id""",
     _PO_CHILDREN[2],
 )
+ORACLES["events_email_incremental"] = ORACLES["events_session_email"]

@@ -102,9 +102,13 @@ def events_with_email(
     spans: Sequence[Span] | None = None,
     categories_from: str = "source",
     policy: SkewPolicy = DEFAULT_POLICY,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Named events with the first e-mail of their session in the same ISO week.
 
+    With a `state` (see email_state) of earlier events, only later ones need be given: the first e-mail of a
+    session is that of the state and the events together.
+
     The first e-mail per (week, session) is a small aggregate; it is looked up again from the events,
     so a session holding a large share of the rows is spread instead of filling one window task. A
     null session never matches.
@@ -113,7 +117,10 @@ def events_with_email(
     if spans is not None:
         kept = kept.where(within(F.col("created_at"), spans))
     kept = kept.withColumn("_week", week_start(F.col("created_at")))
-    emails = first_emails(kept)
+    if state is None:
+        emails = first_emails(kept)
+    else:
+        emails = known_emails(merged_email_states(state, _email_state(kept)))
     rows = lookup(
         kept, emails, {"_week": "_email_week", "session_id": "_email_session"}, policy=policy
     )
@@ -137,6 +144,40 @@ def first_emails(events: DataFrame) -> DataFrame:
     ).agg(F.min_by("email", "id").alias("first_email"))
 
 
+def email_state(events: DataFrame) -> DataFrame:
+    """(week, session_id, first_id, email) of each session and week: the first e-mail in a form that can be merged.
+
+    A row per session and week however many events there are, so a state table partitioned by week holds all
+    that a later refresh needs of the days before. It only grows: events that are withdrawn need a full run.
+    """
+    named = events.where(F.col("event").isNotNull())
+    return _email_state(named.withColumn("_week", week_start(F.col("created_at"))))
+
+
+def _email_state(events: DataFrame) -> DataFrame:
+    known = events.where(F.col("session_id").isNotNull() & F.col("email").isNotNull())
+    return known.groupBy(F.col("_week").alias("week"), "session_id").agg(
+        F.min("id").alias("first_id"), F.min_by("email", "id").alias("email")
+    )
+
+
+def merged_email_states(*states: DataFrame) -> DataFrame:
+    """One state of several, in any order and however their events overlap."""
+    rows = states[0]
+    for state in states[1:]:
+        rows = rows.unionByName(state)
+    return rows.groupBy("week", "session_id").agg(
+        F.min("first_id").alias("first_id"), F.min_by("email", "first_id").alias("email")
+    )
+
+
+def known_emails(state: DataFrame) -> DataFrame:
+    """A state in the form of `first_emails`."""
+    return state.select(
+        F.col("week").alias("_email_week"), F.col("session_id").alias("_email_session"), F.col("email").alias("first_email")
+    )
+
+
 def forms_by_module(forms: DataFrame, spans: Sequence[Span] | None = None) -> DataFrame:
     """Forms with their partition label `dt`; all of them, or those inside the spans."""
     kept = forms if spans is None else forms.where(within(F.col("created_at"), spans))
