@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.lookup import DEFAULT_POLICY, SkewPolicy, is_small
 from ..plans.boost import boosted, changed_rows
-from ..plans.clicks import click_rows, unseen_clicks, unseen_clicks_by_bucket
+from ..plans.clicks import KEY, click_rows, unseen_clicks, unseen_clicks_by_bucket
 from ..schemas import table_schema
 from ..sources.objects import read_click_lines
 from .catalog import register
@@ -41,15 +42,17 @@ def insert_new_clicks(clicks: DataFrame, path: str, years: Sequence[int] | None
     """Append the clicks whose (id, year) is not stored, partitioned by year.
 
     Running it again with the same rows appends nothing, also when an earlier run failed half-way.
-    Only the stored years of the new rows are compared, and only their keys are read. The keys of a
-    year are moved for the comparison; where that is too much, keep the table bucketed (see
-    create_click_table).
+    Only the stored years of the new rows are compared, and only their keys are read. Where Catalyst
+    estimates the new keys below the broadcast threshold, they go to the stored ones and only those that
+    are found again move. Otherwise the keys of a year are moved for the comparison; where that is too
+    much, keep the table bucketed (see create_click_table).
     """
     spark = clicks.sparkSession
     years = _years(clicks, years)
     if not years:
         return
     history = stored_clicks(spark, path).where(F.col("year").isin(*years))
+    history = repeated_keys(clicks, history)
     (
         unseen_clicks(clicks, history)
         .hint("rebalance", F.col("year"))
@@ -60,6 +63,16 @@ def insert_new_clicks(clicks: DataFrame, path: str, years: Sequence[int] | None
     )
 
 
+def repeated_keys(
+    clicks: DataFrame, history: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """The stored keys that the new rows may repeat: those they do where the new keys are small, else all."""
+    stored, new = history.select(*KEY), clicks.select(*KEY)
+    if not is_small(new, policy):
+        return stored
+    return stored.join(new, list(KEY), "left_semi")
+
+
 def create_click_table(spark: SparkSession, table: str, path: str, buckets: int) -> None:
     """A catalog table of clicks, partitioned by year and bucketed by id."""
     columns = ", ".join(

@@ -9,12 +9,14 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.lookup import SkewPolicy
 from ledgerloom.plans.boost import KEY
+from ledgerloom.plans.clicks import unseen_clicks
 from ledgerloom.schemas import BOOST_SCORES
 from ledgerloom.sinks import staged, versions
 from ledgerloom.sinks.catalog import register
 from ledgerloom.sinks.parquet import write_snapshot
-from ledgerloom.sinks.upsert import boost_files, stored_clicks
+from ledgerloom.sinks.upsert import boost_files, repeated_keys, stored_clicks
 from ledgerloom.streaming.ledger import ingest_click_days, ingest_new_objects, ledger_rows, new_objects
 
 
@@ -210,3 +212,16 @@ def test_day_streams_keep_their_checkpoints(spark, tmp_path):
     assert ingest_click_days(spark, base, target, state, date(2024, 1, 4), 2) == ["2024/01/03", "2024/01/04"]
     assert sorted(r.id for r in stored_clicks(spark, target).collect()) == ['"a"', '"b"', '"c"', '"late"']
     assert sorted(os.listdir(state)) == ["2024-01-02", "2024-01-03", "2024-01-04"]
+
+
+def test_a_small_batch_does_not_move_the_stored_keys(spark, table, tmp_path):
+    old = table("clicks", *[dict(id=f"i{i}", year=2024, data="old") for i in range(50)])
+    old.write.parquet(f"{tmp_path}/s")
+    stored = spark.read.schema(old.schema).parquet(f"{tmp_path}/s")
+    new = table("clicks", *[dict(id=f"i{i}", year=2024, data="new") for i in range(45, 60)])
+    small, large = repeated_keys(new, stored), repeated_keys(new, stored, SkewPolicy(broadcast_bytes=-1))
+    assert sorted(r.id for r in small.collect()) == [f"i{i}" for i in range(45, 50)] and large.count() == 50
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    for keys in (small, large):
+        assert sorted(r.id for r in unseen_clicks(new, keys).collect()) == [f"i{i}" for i in range(50, 60)]
