@@ -87,7 +87,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes
     """Per document: doc_id, n_words, n_hit, item_ids (sorted as strings), spans (original characters), contaminated.
 
     Null and empty texts have no words and are clean; an empty benchmark hits nothing; an item
-    without id or words takes no part; documents that repeat a doc_id are judged row by row.
+    without id or words takes no part; documents that repeat a doc_id are judged row by row. Whole texts
+    are scanned, however long; a repeated item counts once by its id; an empty table gives no rows; only
+    doc_id and text are read, so other columns cannot clash.
     """
     items = _items(benchmark)
     parts = _parts(items, part_bytes)

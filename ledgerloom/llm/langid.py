@@ -260,7 +260,9 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Per document: doc_id, held_out (fold 2), lang_pred, score (0 to 1).
 
     Without a model one is trained on the documents outside fold 2. Null texts and texts without a
-    letter are `und` at score 0; so is all if no label can be learnt.
+    letter are `und` at score 0; so is all if no label can be learnt. Of labels with equal scores the
+    first in order is taken. Whole texts are read, however long; repeated rows each get a row; an empty
+    table gives no rows; only doc_id, text and lang are read, so other columns cannot clash.
     """
     model = model or train(docs.where(fold() != 2))
 

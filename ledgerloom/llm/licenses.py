@@ -173,7 +173,9 @@ def scan(
 
     Null and empty texts have no words, no places (first_word and last_word null), empty labels and
     score 0. Score: 1 if a template is accepted, 0.5 if only base phrases occur. `matches` are the
-    template runs (label, start, stop) in words. Rows that repeat a doc_id are scanned row by row.
+    template runs (label, start, stop) in words. Rows that repeat a doc_id are scanned row by row. Whole
+    texts are scanned, however long; an empty table gives no rows; only doc_id and text are read, so other
+    columns cannot clash.
     """
 
     def setup() -> Callable[[dict[str, list]], dict[str, list]]:

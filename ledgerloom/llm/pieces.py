@@ -28,6 +28,8 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 #: Remembered pairs of neighbouring pieces; beyond it they are judged anew.
 PAIRS = 2_000_000
 BATCH = 4_000_000
+# Characters up to which a word is not looked through for places to cut it.
+LONG_WORD = 48
 CELLS = 2_000_000
 
 
@@ -91,6 +93,7 @@ class Encoder:
     key_ids: np.ndarray = field(init=False)
     names: dict[int, str] = field(init=False)
     longest: int = field(init=False)
+    neighbours: np.ndarray = field(init=False)
     pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     allowed: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
 
@@ -105,6 +108,8 @@ class Encoder:
             raise ValueError("two pieces share a key")
         self.names = {i: p for p, i in own.items()}
         self.longest = max(map(len, own), default=1)
+        beside = {ord(a) << 21 | ord(b) for p in v.scores for a, b in zip(p, p[1:], strict=False)}
+        self.neighbours = np.array(sorted(beside), np.int64)
         self.unknown = len(v.raw)
 
     def name(self, i: int) -> str:
@@ -163,8 +168,32 @@ class Encoder:
             last[:, j] = np.where(back[:, j] > 0, ids[line, pick], -1)
         return back, last
 
-    def split(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def cut(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """(parts of the words in order, number of the word of each part).
+
+        A word of over LONG_WORD characters is cut where no piece holds the two characters beside each other:
+        no merge can cross that place, so the parts are split as the whole would be, and many short
+        parts advance together where a text without spaces would advance alone.
+        """
+        parts: list[str] = []
+        owner: list[int] = []
+        for k, word in enumerate(words):
+            if len(word) <= LONG_WORD:
+                parts.append(word)
+                owner.append(k)
+                continue
+            codes = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+            beside = codes[:-1] << 21 | codes[1:]
+            at = np.minimum(np.searchsorted(self.neighbours, beside), max(0, len(self.neighbours) - 1))
+            apart = self.neighbours[at] != beside if len(self.neighbours) else np.ones(len(beside), bool)
+            edges = [0, *(np.flatnonzero(apart) + 1).tolist(), len(word)]
+            parts += [word[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+            owner += [k] * (len(edges) - 1)
+        return parts, np.array(owner, np.int64)
+
+    def split(self, whole: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words in order, where each word's ids start and end)."""
+        words, owner = self.cut(whole)
         lengths = np.array([len(w) for w in words], np.int64)
         own: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for size in np.unique(lengths).tolist():
@@ -183,8 +212,8 @@ class Encoder:
             return np.zeros(0, np.int64), np.zeros(1, np.int64)
         word, order, ids = (np.concatenate(x) for x in zip(*own, strict=True))
         at = np.lexsort((-order, word))
-        word, ids = word[at], ids[at]
-        return self._with_bytes(word, ids, len(words))
+        word, ids = owner[word[at]], ids[at]
+        return self._with_bytes(word, ids, len(whole))
 
     def _with_bytes(self, word: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Characters without a piece become the bytes of their UTF-8 form."""
@@ -236,7 +265,9 @@ def encode(docs: DataFrame, path: str = MODEL, columns: tuple[str, ...] = ("doc_
 
     A null text has null ids, no tokens and a null round_trip; an empty text has empty ids. round_trip
     tells whether decoding gives the text back; only texts that hold the space mark itself, or
-    characters outside UTF-8, do not come back. Whole texts are encoded, also very long words.
+    characters outside UTF-8, do not come back. Whole texts are encoded, also very long words, which are
+    cut where no piece can cross. Repeated rows each get their ids; an empty table gives no rows; only
+    `columns` and text are read, so other columns cannot clash.
     """
     vocabulary = load(path)
 

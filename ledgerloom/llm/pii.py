@@ -258,8 +258,9 @@ def pseudonymise(docs: DataFrame, key: str = "change-this-key", text: str = "tex
     """`docs` with `text` pseudonymised and two columns more: n_found, n_changed (long).
 
     No shuffle and no Python. A null text stays null with counts 0; an empty one stays empty; other
-    columns are not touched, and rows are treated one by one, so repeated rows stay repeated. Columns
-    n_found and n_changed of `docs` itself are replaced.
+    columns are not touched, and rows are treated one by one, so repeated rows stay repeated. Whole texts
+    are searched, however long; an empty table gives no rows. Columns n_found and n_changed of `docs`
+    itself are replaced, and names that begin with `__found`, `__gaps` and `__new` are reserved.
     """
     found = F.regexp_extract_all(F.col(text), F.lit(FOUND), F.lit(0))
     gaps = F.split(F.col(text), FOUND, -1)

@@ -213,7 +213,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest reachable doc_id).
 
     Empty tables give an empty frame; rows that repeat a doc_id each get a row; a null doc_id takes
-    part but is a component_id only where no other id is reachable.
+    part but is a component_id only where no other id is reachable. Null, empty and blank texts have
+    fingerprint 0; whole texts are hashed, however long; a bit set in exactly half of the shingles is 0.
+    Only doc_id and text are read, so other columns cannot clash.
     """
     prints = checkpointed(fingerprints(docs, shingle))
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))

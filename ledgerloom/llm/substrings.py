@@ -306,7 +306,8 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, hot: int = HOT, shard_seg
 
     A word goes if a window of `window` words over it also starts anywhere else. Null and blank texts
     have no words; texts of fewer words than a window lose none; rows that repeat a doc_id are rows of
-    their own (and repeat each other's windows if their texts are equal).
+    their own (and repeat each other's windows if their texts are equal). Whole texts are searched, however
+    long; an empty table gives no rows; only doc_id and text are read, so other columns cannot clash.
     """
     if not GRAM <= window <= GRAM + 62:
         raise ValueError(f"a window has {GRAM} to {GRAM + 62} words")

@@ -270,7 +270,9 @@ def format_turns(conversations: DataFrame, model: Model | None = None) -> DataFr
     `text` is without its speaker marker; `rendered` is `<|role|>`, the text and `<|end|>` on lines of their
     own, with `<|` inside the text escaped. Without a model one is trained on conversations whose
     crc32(conv_id) modulo 4 is not 2. A null text is an empty turn (text stays null); a row without
-    conv_id stands alone; a null turn comes last; repeated rows all get the role of their turn.
+    conv_id stands alone; a null turn comes last; rows of one turn are ordered by their text's hash, so ties
+    are settled alike in every run; repeated rows all get the role of their turn. Very long texts and
+    conversations are decoded whole, in blocks; an empty table gives no rows; other columns are not read.
     """
     model = model or train(conversations.where(F.crc32(F.col("conv_id").cast("string")) % 4 != 2))
     ends = decode_roles(conversations, model)

@@ -1,12 +1,14 @@
 """Samples that are never empty, stages that use their model, and parsers that are linear and drop nothing."""
 
+import os
+import random
 import time
 from dataclasses import replace
 
 import numpy as np
 import pytest
 
-from ledgerloom.llm import langid, licenses, pages, transcripts
+from ledgerloom.llm import langid, licenses, pages, pieces, transcripts
 
 ENGLISH = "the cat sat on the mat and the dog ran to the house of the man"
 FRENCH = "le chat est sur la table et le chien dort dans la maison du voisin"
@@ -91,3 +93,20 @@ def test_trees_decide_where_no_page_says_where_its_article_is(spark):
     frame = spark.createDataFrame([(i, "u", html) for i in range(3)], "page_id long, url string, html string")
     (text,) = {r.text for r in pages.extract(frame).collect()}
     assert text.count("Paragraph") == 4 and "Home" not in text and "foot" not in text
+
+
+@pytest.mark.skipif(not os.path.isfile(pieces.MODEL), reason="the vocabulary is absent")
+def test_long_words_are_split_as_the_library_splits_them():
+    import sentencepiece
+
+    r = random.Random(3)
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    encoder = pieces.Encoder(pieces.load(pieces.MODEL))
+    han = "".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(60_000))
+    mixed = ["".join(r.choice("ab名é🙂cZ0_etaoin") for _ in range(r.randrange(1, 300))) for _ in range(100)]
+    start = time.monotonic()
+    ids, offsets = pieces.encode_batch(encoder, [han, *mixed])
+    assert time.monotonic() - start < 10
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == [library.encode(t) for t in [han, *mixed]]
+    parts, owner = encoder.cut([han, "short", mixed[0]])
+    assert "".join(p for p, k in zip(parts, owner, strict=True) if k == 0) == han and len(parts) > 1000
