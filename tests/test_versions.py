@@ -219,6 +219,8 @@ def test_a_small_batch_does_not_move_the_stored_keys(spark, table, tmp_path):
     old.write.parquet(f"{tmp_path}/s")
     stored = spark.read.schema(old.schema).parquet(f"{tmp_path}/s")
     new = table("clicks", *[dict(id=f"i{i}", year=2024, data="new") for i in range(45, 60)])
+    new.write.parquet(f"{tmp_path}/n")
+    new = spark.read.schema(old.schema).parquet(f"{tmp_path}/n")
     small, large = repeated_keys(new, stored), repeated_keys(new, stored, SkewPolicy(broadcast_bytes=-1))
     assert sorted(r.id for r in small.collect()) == [f"i{i}" for i in range(45, 50)] and large.count() == 50
     plan = small._jdf.queryExecution().executedPlan().toString()
