@@ -140,19 +140,14 @@ def _entries(pairs: DataFrame, best: int | None, lists: int) -> DataFrame:
                 row = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
                 q_ids, c_ids = np.array(row["q_ids"], np.int64), np.array(row["c_ids"], np.int64)
                 local = products(matrix(row["q"]), matrix(row["c"]))
-                allowed = q_ids[:, None] != c_ids[None, :]
                 if best is None:
                     limit = np.array([-LONG if c is None else c for c in row["cutoffs"]], np.int64)
                     # local * lists >= cutoff in whole numbers, without overflow
-                    take = np.nonzero(allowed & (local >= (-(-limit // lists))[:, None]))
+                    a, b = np.nonzero(local >= (-(-limit // lists))[:, None])
                 else:
-                    masked = np.where(allowed, local, -LONG - 1)
-                    depth = min(best, masked.shape[1])
-                    top = np.argpartition(-masked.astype(np.float64), depth - 1, axis=1)[:, :depth]
-                    at = np.repeat(np.arange(len(q_ids)), depth)
-                    ok = allowed[at, top.ravel()]
-                    take = at[ok], top.ravel()[ok]
-                a, b = take
+                    depth = min(best, local.shape[1])
+                    top = np.argpartition(-local.astype(np.float64), depth - 1, axis=1)[:, :depth]
+                    a, b = np.repeat(np.arange(len(q_ids)), depth), top.ravel()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(q_ids[a]), pa.array(np.full(len(a), row["list"], np.int32)), pa.array(c_ids[b]), pa.array(local[a, b])],
                     ["q_row", "list", "c_row", "local"],
@@ -189,32 +184,29 @@ def _kth(scores: DataFrame, k: int) -> DataFrame:
     return scores.withColumn("at", rank).where(F.col("at") == k).select("q_row", F.col("score").alias("cutoff"))
 
 
-def search(embeddings: DataFrame, k: int = 10, query_every: int = 100, lists: int = LISTS, shards: int = SHARDS, depth: int = DEPTH) -> DataFrame:
-    """The k best candidates of each query row: query_id, rank (from 1), vec_id, score.
+def distinct_vectors(rows: DataFrame, most: int) -> DataFrame:
+    """(row_no, vector, least, members) of each distinct vector: a number of its own, the smallest vec_id and
+    its `most` first rows as (vec_id, row_no). Copies beyond these are cut in every task, before the shuffle."""
+    place = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id", "row_no"))
+    first = rows.withColumn("place", place).where(F.col("place") <= most)
+    grouped = first.groupBy("vector").agg(F.array_sort(F.collect_list(F.struct("vec_id", "row_no"))).alias("members"))
+    return grouped.select(F.monotonically_increasing_id().alias("row_no"), "vector", F.col("members")[0]["vec_id"].alias("least"), "members")
 
-    Queries are the rows whose vec_id is divisible by `query_every`, candidates all rows but the query's
-    own; ties go to the smaller vec_id. Rows without vec_id, without vector or with a null or
-    non-finite component take no part. Rows that repeat a vec_id are rows of their own. Components and
-    scores outside 64 bits are saturated. Vectors of different lengths are compared as if filled with
-    zeros, in one list (a cut of its own length would not match another's). Fewer than k candidates
-    give fewer rows; an empty table gives none.
-    """
-    rows = checkpointed(vectors(embeddings))
-    sizes = rows.agg(F.min(F.length("vector")).alias("a"), F.max(F.length("vector")).alias("b"), F.count(F.when(F.col("vec_id") % query_every == 0, 1)).alias("n"), F.countDistinct(F.substring("vector", 1, 1)).alias("kinds")).first()
-    if sizes.kinds != 1 or sizes.a != sizes.b:
-        lists = 1
-    queries = rows.where(F.col("vec_id") % query_every == 0)
-    spread = queries.repartition(max(1, -(-sizes.n // QUERY_BLOCK)))
-    candidate_blocks = blocks(rows, CANDIDATE_BLOCK, lists)
+
+def best_vectors(queries: DataFrame, candidates: DataFrame, k: int, n_queries: int, n_candidates: int, lists: int, shards: int | None, depth: int) -> DataFrame:
+    """(q_row, c_row, score): the k best distinct `candidates` of each distinct query; ties go to the smaller `least`."""
+    shards = shards or max(SHARDS, n_candidates // (4 * CANDIDATE_BLOCK))
+    query_blocks = max(1, -(-n_queries // QUERY_BLOCK))
+    spread = queries.select("row_no", "vector").repartition(query_blocks)
+    candidate_blocks = blocks(candidates, CANDIDATE_BLOCK, lists)
 
     seen = _entries(meet(blocks(spread, QUERY_BLOCK, lists), candidate_blocks, shards), depth, lists)
     rank = F.row_number().over(Window.partitionBy("q_row", "list").orderBy(F.desc("local"), "c_row"))
     heads = seen.withColumn("at", rank).where(F.col("at") <= depth).select("q_row", "c_row").distinct()
-    first = checkpointed(resolve(heads, queries, rows))
+    first = checkpointed(resolve(heads, queries, candidates))
     cutoff = checkpointed(_kth(first, k))
 
-    limited = spread.join(cutoff.withColumnRenamed("q_row", "row_no"), "row_no", "left")
-    limited = limited.repartition(max(1, -(-sizes.n // QUERY_BLOCK)))
+    limited = spread.join(cutoff.withColumnRenamed("q_row", "row_no"), "row_no", "left").repartition(query_blocks)
     entries = _entries(meet(blocks(limited, QUERY_BLOCK, lists, carry=True), candidate_blocks, shards), None, lists)
     known = checkpointed(entries.groupBy("q_row", "c_row").agg(F.sum("local").alias("score"), F.count("*").alias("n")))
 
@@ -225,10 +217,41 @@ def search(embeddings: DataFrame, k: int = 10, query_every: int = 100, lists: in
     bound = F.col("score") * lists + (lists - F.col("n")) * F.col("cutoff") >= F.col("second") * lists
     open_pairs = known.where(F.col("n") < lists).join(better, "q_row", "left").where(F.col("second").isNull() | bound)
     rest = open_pairs.select("q_row", "c_row").join(first, ["q_row", "c_row"], "left_anti")
-    scored = exact.unionByName(resolve(rest, queries, rows)).join(cutoff, "q_row", "left").where(F.col("cutoff").isNull() | (F.col("score") >= F.col("cutoff")))
+    scored = exact.unionByName(resolve(rest, queries, candidates)).join(cutoff, "q_row", "left").where(F.col("cutoff").isNull() | (F.col("score") >= F.col("cutoff")))
+
+    named = scored.join(candidates.select(F.col("row_no").alias("c_row"), "least"), "c_row")
+    order = Window.partitionBy("q_row").orderBy(F.desc("score"), "least", "c_row")
+    return named.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k).select("q_row", "c_row", "score")
 
-    named = scored.join(rows.select(F.col("row_no").alias("c_row"), "vec_id"), "c_row")
-    order = Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id", "c_row")
-    ranked = named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    ids = queries.select(F.col("row_no").alias("q_row"), F.col("vec_id").alias("query_id"))
-    return ranked.join(ids, "q_row").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+def search(embeddings: DataFrame, k: int = 10, query_every: int = 100, lists: int = LISTS, shards: int | None = None, depth: int = DEPTH) -> DataFrame:
+    """The k best candidates of each query row: query_id, rank (from 1), vec_id, score.
+
+    Queries are the rows whose vec_id is divisible by `query_every`, candidates all rows but the query's
+    own; ties go to the smaller vec_id. Distinct vectors are searched, and equal queries once: a row of the
+    answer lies in one of the k + 1 best vectors and is among the first k + 1 rows of it, so copies
+    never become pairs. Rows without vec_id, without vector or with a null or non-finite component
+    take no part. Rows that repeat a vec_id are rows of their own. Components and scores outside 64
+    bits are saturated. Vectors of different lengths are compared as if filled with zeros, in one
+    list (a cut of its own length would not match another's). Fewer than k candidates give fewer rows;
+    an empty table gives none; only vec_id and embedding are read, so other columns cannot clash.
+    """
+    rows = checkpointed(vectors(embeddings))
+    vectors_ = checkpointed(distinct_vectors(rows, k + 1))
+    sizes = vectors_.agg(F.min(F.length("vector")).alias("a"), F.max(F.length("vector")).alias("b"), F.count("*").alias("n"), F.countDistinct(F.substring("vector", 1, 1)).alias("kinds")).first()
+    if sizes.kinds != 1 or sizes.a != sizes.b:
+        lists = 1
+    asking = rows.where(F.col("vec_id") % query_every == 0).withColumnsRenamed({"row_no": "own_row", "vec_id": "query_id"})
+    asked = checkpointed(asking.join(vectors_.select("row_no", "vector"), "vector").select("own_row", "query_id", F.col("row_no").alias("q_row")))
+    queries = checkpointed(vectors_.join(asked.select(F.col("q_row").alias("row_no")).distinct(), "row_no", "left_semi"))
+    found = best_vectors(queries, vectors_, k + 1, queries.count(), sizes.n, lists, shards, depth)
+
+    members = vectors_.select(F.col("row_no").alias("c_row"), F.explode("members").alias("row"))
+    # The first k + 1 rows of a query's vectors hold its k best besides itself, whichever row it is.
+    order = Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id", "row_no")
+    near = found.join(members, "c_row").select("q_row", "score", "row.vec_id", "row.row_no")
+    near = near.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k + 1)
+    answers = asked.join(near, "q_row").where(F.col("own_row") != F.col("row_no"))
+    own = Window.partitionBy("own_row").orderBy("at")
+    ranked = answers.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

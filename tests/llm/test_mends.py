@@ -110,3 +110,23 @@ def test_long_words_are_split_as_the_library_splits_them():
     assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == [library.encode(t) for t in [han, *mixed]]
     parts, owner = encoder.cut([han, "short", mixed[0]])
     assert "".join(p for p, k in zip(parts, owner, strict=True) if k == 0) == han and len(parts) > 1000
+
+
+def test_copies_of_a_vector_do_not_become_pairs(spark):
+    from ledgerloom.llm import topk
+
+    r = random.Random(5)
+    hot = [1.0, 2.0, 3.0, 4.0]
+    rows = [(i, hot if i % 3 == 0 else [r.gauss(0, 1) for _ in range(4)]) for i in range(900)] + [(300, hot), (0, [9.0, 9.0, 9.0, 9.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    found = sorted(tuple(x) for x in topk.search(table, k=4, query_every=10).collect())
+    scaled = [(i, np.floor(1024 * np.array(v)).astype(int)) for i, v in rows]
+    wanted = []
+    for n, (i, q) in enumerate(scaled):
+        if i % 10 == 0:
+            best = sorted((-int(q @ x), j) for m, (j, x) in enumerate(scaled) if m != n)[:4]
+            wanted += [(i, k + 1, j, -s) for k, (s, j) in enumerate(best)]
+    assert found == sorted(wanted)
+    made = topk.checkpointed(topk.distinct_vectors(topk.vectors(table), 5))
+    # 301 copies of the hot vector are one candidate, with five of its rows.
+    assert made.count() == 602 and max(len(x.members) for x in made.collect()) == 5
