@@ -86,7 +86,7 @@ def click_rows(lines: DataFrame) -> DataFrame:
     modification. A line that is not JSON stops the job.
     """
     return lines.select(
-        member_quoted(parsed(F.col("value")), "Id").alias("id"),
+        member_quoted(parsed(F.col("value")), "Id", F.col("value")).alias("id"),
         F.col("value").alias("data"),
         "file_name",
         "last_modified_date",

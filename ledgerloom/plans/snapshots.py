@@ -77,14 +77,14 @@ def _user_reference_expressions() -> dict[str, Column]:
     fields = jsontext.parsed(F.col("fields"))
     return {
         **{c: or_timestamp(F.col(c), REFERENCE_DATE) for c in ("created_at", "updated_at")},
-        **{c: jsontext.member_bare(fields, c) for c in USER_REFERENCE_MEMBERS},
+        **{c: jsontext.member_bare(fields, c, F.col("fields")) for c in USER_REFERENCE_MEMBERS},
     }
 
 
 def _provider_reference_expressions() -> dict[str, Column]:
     fields = jsontext.parsed(F.col("fields"))
     return {
-        **{c: jsontext.member_text(fields, c) for c in ("name", "slug", "contract_status")},
+        **{c: jsontext.member_text(fields, c, F.col("fields")) for c in ("name", "slug", "contract_status")},
         "score": jsontext.first_number(fields, "score"),
     }
 
@@ -221,7 +221,7 @@ SNAPSHOTS: dict[str, Snapshot] = {
             "full_name": full_name(F.col("first_name"), F.col("last_name")),
             "sso_attributes": jsontext.canonical(F.col("sso_attributes")),
             "user_sso_email": jsontext.member_quoted(
-                jsontext.parsed(F.col("sso_attributes")), "email"
+                jsontext.parsed(F.col("sso_attributes")), "email", F.col("sso_attributes")
             ),
         },
         rules=lambda: not_null("sso_attributes", "uuid"),

@@ -226,3 +226,18 @@ def test_trailing_weeks(values):
         # Seven weeks when the day 37 days earlier is a Saturday or Sunday.
         back = date.fromordinal(day.toordinal() - 37).weekday()
         assert len(mondays) == (7 if back >= 5 else 6)
+
+
+@pytest.mark.parametrize(
+    "token, shown",
+    [("1.0", "1.0"), ("1.50", "1.5"), ("1e2", "100.0"), ("-7", "-7"), ("1e22", "1e22"), ("0.1", "0.1"), ('"1.0"', '"1.0"'), ("[1, 2]", "[1,2]"), ("true", "true"), ("null", "null")],
+)
+def test_numbers_of_members_keep_their_kind(values, token, shown):
+    source = L('{"b": 1, "it\'s a": %s}' % token)
+    v = jsontext.parsed(source)
+    got = values(jsontext.member_text(v, "a", source), jsontext.member_quoted(v, "c", source), jsontext.member_bare(v, "c", source))
+    assert got == (None, "null", "")
+    source = L('{"b": 1, "a": %s}' % token)
+    v = jsontext.parsed(source)
+    assert values(jsontext.member_text(v, "a", source), jsontext.member_quoted(v, "a", source)) == (shown, shown)
+    assert values(jsontext.member_bare(v, "a", source)) == (shown.replace('"', ""),)
