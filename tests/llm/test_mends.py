@@ -130,3 +130,26 @@ def test_copies_of_a_vector_do_not_become_pairs(spark):
     made = topk.checkpointed(topk.distinct_vectors(topk.vectors(table), 5))
     # 301 copies of the hot vector are one candidate, with five of its rows.
     assert made.count() == 602 and max(len(x.members) for x in made.collect()) == 5
+
+
+def test_automaton_is_as_large_as_its_bound_says():
+    from ledgerloom.llm import decontaminate
+
+    r = random.Random(7)
+    text = " ".join("".join(r.choices("abcdefghij", k=r.randrange(3, 9))) for _ in range(decontaminate.PART_BYTES // 14))
+    machine = decontaminate.automaton([(1, text)])
+    stats = machine.made.get_stats()
+    assert stats["nodes_count"] <= 1 + 13 * len(text.split()) and 2 * stats["total_size"] < 200 << 20
+
+
+@pytest.mark.parametrize("most", [1, 40, 10_000])
+def test_pieces_of_an_item_have_its_windows(most):
+    from ledgerloom.llm import decontaminate
+
+    r = random.Random(1)
+    for n in (0, 1, 5, 12, 13, 14, 40, 200):
+        text = " ".join(r.choice(["ab", "É", "x1", "same"]) for _ in range(n))
+        parts = decontaminate.pieces(text, 13, most)
+        whole = decontaminate.item_windows(text, 13)
+        assert set().union(*(decontaminate.item_windows(p, 13) for p in parts)) == whole
+        assert all(len(p) <= most + 13 * 6 for p in parts)
