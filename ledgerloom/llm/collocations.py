@@ -349,12 +349,13 @@ def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard_
     counted = grown.withColumns({"f": f, "place": F.row_number().over(place)})
     held = checkpointed(counted.where((F.col("f") >= least) & ((F.col("place") == 1) | (F.size("followers") > 0))))
     shorter = held.where("place = 1").select("lang", "phrase", "words", "f")
-    follower = held.select("lang", "phrase", "words", F.explode("followers").alias("next"))
-    last = follower.select("lang", F.concat_ws(" ", "phrase", "next.word").alias("phrase"), (F.col("words") + 1).alias("words"), F.col("next.n").cast("long").alias("n"))
-    # Zipped before they are exploded: a row must not carry the other array.
-    own = F.expr("explode(arrays_zip(vocabulary, slice(counts, 2, size(vocabulary))))").alias("word")
-    single = indexes.select("lang", own).select("lang", F.col("word.vocabulary").cast("string").alias("phrase"), F.lit(1).alias("words"), F.col("word.1").cast("long").alias("n"))
-    sums = last.unionByName(single).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    # Words are what follows the empty phrase: one explode and one sum for both ends of the lengths.
+    words = F.expr("transform(arrays_zip(vocabulary, slice(counts, 2, size(vocabulary))), x -> struct(cast(x.vocabulary as string) as word, x.`1` as n))")
+    empty = indexes.select("lang", F.lit("").alias("phrase"), F.lit(0).alias("words"), words.alias("followers"))
+    next_word = held.select("lang", "phrase", "words", "followers").unionByName(empty).select("lang", "phrase", "words", F.explode("followers").alias("next"))
+    longer = F.when(F.col("words") == 0, F.col("next.word")).otherwise(F.concat_ws(" ", "phrase", "next.word")).alias("phrase")
+    last = next_word.select("lang", longer, (F.col("words") + 1).alias("words"), F.col("next.n").cast("long").alias("n"))
+    sums = last.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     phrases = shorter.unionByName(sums).where(F.col("words") <= longest)
     return checkpointed(phrases), indexes.groupBy("lang").agg(F.sum("n_words").alias("n"))
 
