@@ -8,14 +8,16 @@
 3. Each shard gets the hashes it holds that are left, and extends their bigrams: to the left for trigrams,
    then to the right for four words, as long as every bigram inside is left. An interval is kept in both
    transforms, so either side can be extended. Phrases leave as text with their counts, trigrams with the
-   words that follow them, and the counts are summed over shards: hashes only spare work, the sums are
-   exact. The words that follow are looked at for frequent trigrams only.
+   words that follow them, dealt to buckets by a hash of the phrase: a row is what a shard has for a
+   bucket. A bucket sums its phrases over shards: hashes only spare work, the sums are exact. The words
+   that follow are looked at for frequent trigrams only.
 4. Cuts, extensions and ranks are joins and aggregates over the frequent phrases. If any longer candidate
    holds a phrase and is nearly as frequent, so is the one between them that is one word longer; so the
    largest left and right extension decide.
 
 No shard depends on another, so counts of any number of shards are sums, and no word or phrase has a task
-of its own: a phrase sends one row per shard, however frequent it is.
+of its own: a phrase has one entry per shard, however frequent it is, and a bucket holds the phrases of
+about `BUCKET_WORDS` words, however large the corpus is.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ LONGEST, LEAST, TOP = 4, 30, 2000
 SHARD_WORDS = 4_000_000
 #: Words that a task holds for all languages together before it builds the largest one's index.
 HELD_WORDS = 5_000_000
+#: Words of the corpus whose phrases are summed together in one task.
+BUCKET_WORDS = 1_000_000
 #: Words whose extensions are enumerated at a time.
 LANES = 40_000
 # A-Z lower-cased, and every separator of pieces as a point.
@@ -240,9 +244,12 @@ def _opened(row: dict) -> tuple[PhraseIndex, np.ndarray]:
 
 
 def _pair_hash(codes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = (codes[a] ^ (codes[a] >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + codes[b]
+    return _stirred((codes[a] ^ (codes[a] >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + codes[b]).view(np.int64)
+
+
+def _stirred(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    return (x ^ (x >> np.uint64(33))).view(np.int64)
+    return x ^ (x >> np.uint64(33))
 
 
 def _bigrams(index: PhraseIndex) -> Iterator[tuple[np.ndarray, np.ndarray, tuple]]:
@@ -268,14 +275,16 @@ def pair_hashes(indexes: DataFrame) -> DataFrame:
     return indexes.select("shard", "lang", "vocabulary", "counts", "zeros", "bits").mapInArrow(work, "hash long, shard long, n int")
 
 
-# A phrase of a shard; with three words (the longest less one) also the words that follow it, with their counts.
-FOLLOWERS = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))
-GROWN = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64()), ("followers", FOLLOWERS)])
-GROWN_SQL = "lang string, phrase string, words int, n long, followers array<struct<word: string, n: int>>"
+# The phrases of a shard that fall into one bucket, with their counts and how many words follow each of them
+# there, and those words with their counts. Texts are joined by line feeds, which no word holds.
+BUCKET = pa.schema([("bucket", pa.int32()), ("lang", pa.string()), ("phrases", pa.string()), ("n", pa.list_(pa.int32())), ("followers", pa.list_(pa.int32())), ("next", pa.string()), ("next_n", pa.list_(pa.int32()))])
+BUCKET_SQL = "bucket int, lang string, phrases string, n array<int>, followers array<int>, next string, next_n array<int>"
+COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64())])
 
 
-def _phrases(row: dict, wanted: np.ndarray, longest: int) -> Iterator[tuple[int, pa.Array, np.ndarray, pa.Array | None]]:
-    """(words, phrase, count, followers) of a shard's phrases all of whose bigrams have a wanted hash.
+def _phrases(row: dict, wanted: np.ndarray, longest: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]]:
+    """(phrase, hash, count, number of followers, followers, their counts) of a shard's phrases all of whose
+    bigrams have a wanted hash; the followers of all phrases stand one after the other.
 
     The longest phrases are followers of those that are a word shorter: they leave the shard as parts of
     these, and are looked at only where the shorter phrase is frequent.
@@ -305,27 +314,87 @@ def _phrases(row: dict, wanted: np.ndarray, longest: int) -> Iterator[tuple[int,
     for length in range(2, longest):
         phrase = pc.binary_join_element_wise(*[vocabulary.take(pa.array(s - 1)) for s in symbols], " ")
         to_right = length % 2 == 1
+        place = np.zeros(len(interval[0]), np.uint64)
+        for symbol in symbols:
+            place = _stirred(place * np.uint64(0x9E3779B97F4A7C15) + codes[symbol])
         if length < longest - 1:
-            yield length, phrase, interval[2], None
+            yield phrase, place, interval[2], np.zeros(len(place), np.int64), vocabulary[:0], np.zeros(0, np.int64)
             owner, word, longer = grown(to_right)
             old = [s[owner] for s in symbols]
             symbols, interval = [*old, word] if to_right else [word, *old], longer
         else:
             owner, word, longer = grown(True)
             order = np.argsort(owner, kind="stable")
-            items = pa.StructArray.from_arrays([vocabulary.take(pa.array(word[order] - 1)), pa.array(longer[2][order].astype(np.int32))], ["word", "n"])
-            starts = np.searchsorted(owner[order], np.arange(len(interval[0]) + 1)).astype(np.int32)
-            yield length, phrase, interval[2], pa.ListArray.from_arrays(pa.array(starts), items)
+            yield phrase, place, interval[2], np.bincount(owner, minlength=len(place)), vocabulary.take(pa.array(word[order] - 1)), longer[2][order]
         if not len(interval[0]):
             return
 
 
-def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
+def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.astype(np.int32)))
+
+
+def _bucket_rows(lang: str, found: tuple, buckets: int) -> pa.Table:
+    """Rows of BUCKET of some phrases of a shard, as `_phrases` gives them: one for each bucket that has any."""
+    phrase, place, n, followers, following, following_n = found
+    bucket = (place % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    start = np.cumsum(followers) - followers
+    count = followers[order]
+    behind = np.concatenate([[0], np.cumsum(count)])
+    at = np.repeat(start[order] - behind[:-1], count) + np.arange(behind[-1])
+    numbers, first = np.unique(bucket[order], return_index=True)
+    bounds = np.append(first, len(order))
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), phrase.take(pa.array(order))), "\n")
+    next_words = pc.binary_join(pa.ListArray.from_arrays(pa.array(behind[bounds].astype(np.int32)), following.take(pa.array(at))), "\n")
+    langs = pa.array([lang]).take(pa.array(np.zeros(len(numbers), np.int32)))
+    return pa.Table.from_arrays([pa.array(numbers.astype(np.int32)), langs, joined, _lists(n[order], bounds), _lists(count, bounds), next_words, _lists(following_n[at], behind[bounds])], schema=BUCKET)
+
+
+def _flat(column: pa.ChunkedArray) -> np.ndarray:
+    return pc.list_flatten(column).to_numpy().astype(np.int64)
+
+
+def _counted(part: pa.Table, least: int) -> pa.Table:
+    """Rows of COUNTED of a bucket: its phrases with a sum of `least` or more, and those with one more word."""
+    lists = pc.split_pattern(part["phrases"], "\n")
+    texts = pc.list_flatten(lists).combine_chunks().dictionary_encode()
+    langs = part["lang"].combine_chunks().dictionary_encode()
+    many = len(texts.dictionary)
+    lang = np.repeat(langs.indices.to_numpy().astype(np.int64), pc.list_value_length(lists).to_numpy())
+    keys, own = np.unique(lang * many + texts.indices.to_numpy(), return_inverse=True)
+    f = np.bincount(own, _flat(part["n"]), len(keys)).astype(np.int64)
+    made = []
+
+    def add(key: np.ndarray, phrase: pa.Array, sums: np.ndarray) -> None:
+        words = pc.add(pc.count_substring(phrase, " "), 1).cast(pa.int32())
+        made.append(pa.Table.from_arrays([langs.dictionary.take(pa.array(key // many)), phrase, words, pa.array(sums)], schema=COUNTED))
+
+    kept = np.flatnonzero(f >= least)
+    add(keys[kept], texts.dictionary.take(pa.array(keys[kept] % many)), f[kept])
+    # The words that follow a phrase are looked at where it is frequent.
+    with_next = part.filter(pc.greater(pc.list_value_length(part["next_n"]), 0))
+    if with_next.num_rows:
+        following = pc.list_flatten(pc.split_pattern(with_next["next"], "\n")).combine_chunks().dictionary_encode()
+        owner = np.repeat(own.ravel(), _flat(part["followers"]))
+        open_ = np.flatnonzero(f[owner] >= least)
+        size = len(following.dictionary)
+        longer, which = np.unique(owner[open_] * size + following.indices.to_numpy()[open_], return_inverse=True)
+        g = np.bincount(which, _flat(with_next["next_n"])[open_], len(longer)).astype(np.int64)
+        longer, g = longer[g >= least], g[g >= least]
+        key = keys[longer // size]
+        add(key, pc.binary_join_element_wise(texts.dictionary.take(pa.array(key % many)), following.dictionary.take(pa.array(longer % size)), " "), g)
+    return pa.concat_tables(made)
+
+
+def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard_words: int = SHARD_WORDS, bucket_words: int = BUCKET_WORDS) -> tuple[DataFrame, DataFrame]:
     """(phrases, languages): (lang, phrase, words, f) of all phrases of up to `longest` words with f >= least, f over
     all texts; and (lang, n) with the number of words of each language."""
     if not 2 <= longest <= LONGEST:
         raise ValueError(f"phrases have 2 to {LONGEST} words")
     indexes = checkpointed(shards(docs, shard_words))
+    languages = checkpointed(indexes.groupBy("lang").agg(F.sum("n_words").alias("n")))
+    buckets = 1 + (languages.agg(F.sum("n")).first()[0] or 0) // bucket_words
     hashed = pair_hashes(indexes)
     total = F.sum("n").over(Window.partitionBy("hash"))
     left = hashed.withColumn("total", total).where(F.col("total") >= least).select("shard", "hash")
@@ -333,31 +402,21 @@ def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard_
     def whole(key: tuple, index: pa.Table, wanted: pa.Table) -> pa.Table:
         hashes = np.unique(wanted.column("hash").to_numpy())
         if not index.num_rows or not len(hashes):
-            return GROWN.empty_table()
+            return BUCKET.empty_table()
         row = {n: index.column(n)[0] for n in index.column_names}
-        made = []
-        for words, phrase, n, followers in _phrases(row, hashes, max(longest, 3)):
-            lang = pa.array([row["lang"].as_py()]).take(pa.array(np.zeros(len(n), np.int32)))
-            more = pa.nulls(len(n), FOLLOWERS) if followers is None else followers.cast(FOLLOWERS)
-            made.append(pa.Table.from_arrays([lang, phrase, pa.array(np.full(len(n), words, np.int32)), pa.array(n.astype(np.int64)), more], schema=GROWN))
-        return pa.concat_tables(made) if made else GROWN.empty_table()
-
-    grown = indexes.drop("n_words").groupBy("shard").cogroup(left.groupBy("shard")).applyInArrow(whole, GROWN_SQL)
-    # A frequent phrase leaves one row, and a row per shard with the words that follow it there.
-    place = Window.partitionBy("lang", "phrase").orderBy("n")
-    f = F.sum("n").over(place.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    counted = grown.withColumns({"f": f, "place": F.row_number().over(place)})
-    held = checkpointed(counted.where((F.col("f") >= least) & ((F.col("place") == 1) | (F.size("followers") > 0))))
-    shorter = held.where("place = 1").select("lang", "phrase", "words", "f")
-    # Words are what follows the empty phrase: one explode and one sum for both ends of the lengths.
-    words = F.expr("transform(arrays_zip(vocabulary, slice(counts, 2, size(vocabulary))), x -> struct(cast(x.vocabulary as string) as word, x.`1` as n))")
-    empty = indexes.select("lang", F.lit("").alias("phrase"), F.lit(0).alias("words"), words.alias("followers"))
-    next_word = held.select("lang", "phrase", "words", "followers").unionByName(empty).select("lang", "phrase", "words", F.explode("followers").alias("next"))
-    longer = F.when(F.col("words") == 0, F.col("next.word")).otherwise(F.concat_ws(" ", "phrase", "next.word")).alias("phrase")
-    last = next_word.select("lang", longer, (F.col("words") + 1).alias("words"), F.col("next.n").cast("long").alias("n"))
-    sums = last.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    phrases = shorter.unionByName(sums).where(F.col("words") <= longest)
-    return checkpointed(phrases), indexes.groupBy("lang").agg(F.sum("n_words").alias("n"))
+        made = [_bucket_rows(row["lang"].as_py(), found, buckets) for found in _phrases(row, hashes, max(longest, 3))]
+        return pa.concat_tables(made) if made else BUCKET.empty_table()
+
+    def counted(part: pa.Table) -> pa.Table:
+        return _counted(part, least)
+
+    grown = indexes.drop("n_words").groupBy("shard").cogroup(left.groupBy("shard")).applyInArrow(whole, BUCKET_SQL)
+    longer = grown.groupBy("bucket").applyInArrow(counted, "lang string, phrase string, words int, f long")
+    words = F.expr("explode(transform(arrays_zip(vocabulary, slice(counts, 2, size(vocabulary))), x -> struct(cast(x.vocabulary as string) as phrase, x.`1` as n)))")
+    single = indexes.select("lang", words.alias("of")).groupBy("lang", "of.phrase").agg(F.sum("of.n").alias("f"))
+    single = single.where(F.col("f") >= least).select("lang", "phrase", F.lit(1).alias("words"), "f")
+    phrases = single.unionByName(longer).where(F.col("words") <= longest)
+    return checkpointed(phrases), languages
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Characters of text handled at once inside a task; one longer text is a batch of its own.
 BATCH_CHARS = 1_000_000
+# Whether the shuffle files of a query are removed when it has run.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,9 +30,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` written to the cluster's shared folder and read from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """`df` written to the cluster's shared folder and read from there.
+
+    The shuffle files of the run are removed at its end, as nothing reads them again; without this they
+    stay until the driver collects garbage.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        # A plan of its own: the setting is taken, and the files are removed, by plan.
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def slices(batch: pa.RecordBatch, text: str, chars: int = BATCH_CHARS) -> Iterator[dict[str, list]]:
