@@ -6,8 +6,8 @@ form a segment; each window of the corpus lies in exactly one segment, and equal
 one minimiser. Minimisers that occur once need no search. The distinct segments of the others, with the
 number of their occurrences as weight, are dealt to shards by minimiser. Each shard builds a compressed
 FM-index (wavelet matrix over packed bits with block counts) and streams its segments through it: a
-backward search from every window's end gives the matching statistic, and a window is reported if it
-still has a weight of two or more after `WINDOW` words. A minimiser with more than `HOT` distinct
+backward search from a segment's end gives the matching statistic, and a window inside it has a weight
+of two or more; only the windows before it are searched again, in halves. A minimiser with more than `HOT` distinct
 segments would make its shard too large: a passage that many documents share among different words has
 as many segments. Its windows are grouped by their words in Spark instead, with weights summed before
 the shuffle, so no task depends on the frequency of one passage. Words are compared as 48-bit hashes.
@@ -163,25 +163,54 @@ class FMIndex:
             places = np.where((symbol >> (top - k) & 1).astype(bool), zeros + ones, places - ones)
         return places + self.shift[symbol]
 
-    def repeated(self, ends: np.ndarray, length: int) -> np.ndarray:
-        """Whether the `length` symbols before each text place `ends` have a weight of two or more.
+    def statistics(self, ends: np.ndarray, limits: np.ndarray) -> np.ndarray:
+        """Matching statistic of each text place: how many symbols before it, `limits` at most, have a weight of two or more.
 
-        Backward search over all places together; a place leaves once its matching statistic is settled.
+        Backward search over all places together; a place leaves once its statistic is settled.
         """
-        found = np.zeros(len(ends), bool)
-        lane = np.arange(len(ends))
-        low, high, at = np.zeros(len(ends), np.int64), np.full(len(ends), len(self.text)), ends.copy()
-        for _ in range(length):
+        reached = limits.astype(np.int64)
+        lane = np.flatnonzero(limits > 0)
+        low, high, at, left = np.zeros(len(lane), np.int64), np.full(len(lane), len(self.text)), ends[lane], limits[lane]
+        depth = 0
+        while len(lane):
             at = at - 1
             symbol = self.text[at]
             low, high = self.step(symbol, np.stack([low, high]))
             alive = self.weight[high] - self.weight[low] >= 2
+            reached[lane[~alive]] = depth
+            depth += 1
+            alive &= left > depth
             if not alive.all():
-                lane, low, high, at = lane[alive], low[alive], high[alive], at[alive]
-            if not len(lane):
-                break
-        found[lane] = True
-        return found
+                lane, low, high, at, left = lane[alive], low[alive], high[alive], at[alive], left[alive]
+        return reached
+
+    def repeated(self, ends: np.ndarray, length: int) -> np.ndarray:
+        """Whether the `length` symbols before each text place `ends` have a weight of two or more."""
+        return self.statistics(ends, np.full(len(ends), length)) == length
+
+    def repeated_starts(self, starts: np.ndarray, n: np.ndarray, length: int) -> np.ndarray:
+        """Per text place, whether a string of `length` symbols that starts there has a weight of two or more.
+
+        Asked of `n` places from each of `starts`. One search from the last string's end settles every string
+        that lies inside its matching statistic, so a run that is repeated as a whole is searched
+        once. What is left of a run is halved, and each half searched again.
+        """
+        change = np.zeros(len(self.text) + 1, np.int64)
+        first, last = starts.astype(np.int64), starts + n - 1
+        while len(first):
+            ends = last + length
+            reached = np.concatenate([self.statistics(ends[i : i + LANES], (ends - first)[i : i + LANES]) for i in range(0, len(ends), LANES)])
+            begin = ends - reached
+            found = reached >= length
+            change[begin[found]] += 1
+            change[last[found] + 1] -= 1
+            last = np.where(found, begin, last) - 1
+            open_ = last >= first
+            first, last = first[open_], last[open_]
+            middle = (first + last) >> 1
+            more = last > middle
+            first, last = np.concatenate([first, middle[more] + 1]), np.concatenate([middle, last[more]])
+        return np.cumsum(change[:-1]) > 0
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -268,11 +297,11 @@ def _search_shard(table: pa.Table, window: int) -> pa.Table:
     keys, rows = list(at), list(at.values())
     parts = [_unpacked(columns["words"][i]) for i in rows]
     weights = np.array([columns["weight"][i] for i in rows], np.int64)
-    index = FMIndex(parts, weights, window)
+    # Patterns may be as long as a segment.
+    index = FMIndex(parts, weights, max(map(len, parts)))
     n = np.array([len(p) - window + 1 for p in parts])
     offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    ends = np.repeat(index.starts, n) + offset + window
-    found = np.concatenate([index.repeated(ends[i : i + LANES], window) for i in range(0, len(ends), LANES)])
+    found = index.repeated_starts(index.starts, n, window)[np.repeat(index.starts, n) + offset]
     masks = np.add.reduceat(np.where(found, 1 << offset, 0), np.cumsum(n) - n)
     kept = [(m, s, int(x)) for (m, s), x in zip(keys, masks, strict=True) if x]
     return pa.table({"minimiser": pa.array([k[0] for k in kept], pa.int64()), "segment": pa.array([k[1] for k in kept], pa.int64()), "mask": pa.array([k[2] for k in kept], pa.int64())})
@@ -301,6 +330,19 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, hot: int = HOT, shar
     return open_rows.join(masks, ["minimiser", "segment"]).select("key", "first", "mask")
 
 
+def runs_of(mask: int) -> list[tuple[int, int]]:
+    """Runs of the set bits of a mask: (from, to), the end left out."""
+    runs, at = [], 0
+    while mask:
+        zeros = (mask & -mask).bit_length() - 1
+        mask >>= zeros
+        ones = (~mask & (mask + 1)).bit_length() - 1
+        runs.append((at + zeros, at + zeros + ones))
+        mask >>= ones
+        at += zeros + ones
+    return runs
+
+
 def deduplicate(docs: DataFrame, window: int = WINDOW, hot: int = HOT, shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept (the words that stay, joined by one space), kept_sha256.
 
@@ -320,10 +362,11 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, hot: int = HOT, shard_seg
         for text, found in zip(batch["text"], batch["marks"], strict=True):
             words = words_of(text)
             delta = np.zeros(len(words) + 1, np.int64)
-            for m in found or ():
-                at = m["first"] + np.array([k for k in range(m["mask"].bit_length()) if m["mask"] >> k & 1])
-                delta[at] += 1
-                delta[at + window] -= 1
+            runs = [(m["first"] + a, m["first"] + b) for m in found or () for a, b in runs_of(m["mask"])]
+            if runs:
+                begin, end = np.array(runs).T
+                np.add.at(delta, begin, 1)
+                np.add.at(delta, end + window - 1, -1)
             gone = np.cumsum(delta[:-1]) > 0
             kept = b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g) if found else b" ".join(words)
             out["n_words"].append(len(words))
