@@ -31,6 +31,10 @@ BATCH = 4_000_000
 # Characters up to which a word is not looked through for places to cut it.
 LONG_WORD = 48
 CELLS = 2_000_000
+#: Words whose ids an encoder remembers from batch to batch, and the characters of the longest of them.
+KNOWN_WORDS, KNOWN_LENGTH = 400_000, 48
+# Bits of a piece key that the sieve looks at: a substring that it does not know is no piece.
+SIEVE_BITS = 22
 
 
 @dataclass
@@ -94,6 +98,10 @@ class Encoder:
     names: dict[int, str] = field(init=False)
     longest: int = field(init=False)
     neighbours: np.ndarray = field(init=False)
+    sieve: np.ndarray = field(init=False)
+    known: dict[str, int] = field(default_factory=dict)
+    known_ids: list[np.ndarray] = field(default_factory=list)
+    known_sizes: list[np.ndarray] = field(default_factory=list)
     pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     allowed: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
 
@@ -106,6 +114,8 @@ class Encoder:
         self.keys, self.key_ids = keys[order], np.array(list(own.values()), np.int64)[order]
         if len(keys) and not (np.diff(self.keys) > 0).all():
             raise ValueError("two pieces share a key")
+        self.sieve = np.zeros(1 << SIEVE_BITS, bool)
+        self.sieve[self.keys >> np.uint64(64 - SIEVE_BITS)] = True
         self.names = {i: p for p, i in own.items()}
         self.longest = max(map(len, own), default=1)
         beside = {ord(a) << 21 | ord(b) for p in v.scores for a, b in zip(p, p[1:], strict=False)}
@@ -152,8 +162,11 @@ class Encoder:
             spans = np.arange(1, min(j, self.longest) + 1)
             starts = j - spans
             probe = prefix[:, [j]] - prefix[:, starts] * powers[spans]
-            at = np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)
-            ids = np.where(self.keys[at] == probe, self.key_ids[at], -1)
+            ids = np.full(probe.shape, -1, np.int64)
+            likely = np.flatnonzero(self.sieve[probe.ravel() >> np.uint64(64 - SIEVE_BITS)])
+            wanted = probe.ravel()[likely]
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            ids.ravel()[likely] = np.where(self.keys[at] == wanted, self.key_ids[at], -1)
             ids[:, 0] = np.where(ids[:, 0] < 0, self.unknown + codes[:, j - 1], ids[:, 0])
             before = last[:, starts]
             open_ = (ids >= 0) & ((before >= 0) | (starts == 0))
@@ -215,6 +228,21 @@ class Encoder:
         word, ids = owner[word[at]], ids[at]
         return self._with_bytes(word, ids, len(whole))
 
+    def extended(self, fresh: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """`split` of the remembered words and behind them the fresh ones, which are remembered while there is room."""
+        ids, bounds = self.split(fresh)
+        every = np.concatenate([*self.known_ids, ids])
+        sizes = np.concatenate([*self.known_sizes, np.diff(bounds)])
+        whole = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+        keep = [i for i, w in enumerate(fresh) if len(w) <= KNOWN_LENGTH][: KNOWN_WORDS - len(self.known)]
+        if keep:
+            self.known |= {fresh[i]: len(self.known) + k for k, i in enumerate(keep)}
+            chosen = np.array(keep)
+            count = np.diff(bounds)[chosen]
+            at = np.repeat(bounds[chosen] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            self.known_ids, self.known_sizes = [*self.known_ids, ids[at]], [*self.known_sizes, count]
+        return every, whole
+
     def _with_bytes(self, word: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Characters without a piece become the bytes of their UTF-8 form."""
         odd = np.flatnonzero(ids >= self.unknown)
@@ -239,14 +267,16 @@ def units(text: str) -> list[str]:
 
 def encode_batch(encoder: Encoder, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts in order, offsets). A null or empty text has none."""
-    numbers: dict[str, int] = {}
     order: list[int] = []
     sizes = []
+    fresh: dict[str, int] = {}
+    known = encoder.known
     for text in texts:
         own = units(text) if text else []
-        order += [numbers.setdefault(u, len(numbers)) for u in own]
+        # Words of this batch are numbered behind the remembered ones.
+        order += [n if (n := known.get(u)) is not None else len(known) + fresh.setdefault(u, len(fresh)) for u in own]
         sizes.append(len(own))
-    ids, bounds = encoder.split(list(numbers))
+    ids, bounds = encoder.extended(list(fresh))
     which = np.array(order, np.int64)
     start, count = bounds[:-1][which] if len(which) else which, np.diff(bounds)[which] if len(which) else which
     total = np.concatenate([[0], np.cumsum(count)])
